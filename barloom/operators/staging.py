@@ -12,7 +12,10 @@ from barloom.schemas import STAGED
 
 def standardise(raw: DataFrame) -> DataFrame:
     """Drop records without date, symbol or close; fix case and types of the key."""
-    return raw.dropna(subset=["date", "symbol", "close_price"]).select(
+    complete = (
+        F.col("date").isNotNull() & F.col("symbol").isNotNull() & F.col("close_price").isNotNull()
+    )
+    return raw.filter(complete).select(
         F.to_date("date").alias("price_date"),
         F.upper("symbol").alias("symbol"),
         F.lower("sector").alias("sector"),

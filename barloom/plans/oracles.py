@@ -23,7 +23,7 @@ def out(exact: str, rounded: str = "") -> str:
 
 
 def query(parts: list[str], select: str) -> str:
-    return "WITH " + ",\n".join(parts) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + select
 
 
 BARS = """bars AS MATERIALIZED (
@@ -307,5 +307,282 @@ def core() -> dict[str, str]:
     return found
 
 
+def full(function: str, n: int) -> str:
+    """A trailing aggregate that is NULL until n rows are there."""
+    return (
+        f"CASE WHEN count(*) {rows(n)} = {n} THEN {function} {rows(n)} END"
+    )
+
+
+def smooth(value: str, previous: str, span: int) -> str:
+    alpha = 2.0 / (span + 1.0)
+    return f"({value}) * {alpha!r}::DOUBLE + {previous} * {1.0 - alpha!r}::DOUBLE"
+
+
+MACD_EMA = [
+    f"numbered AS MATERIALIZED (SELECT *, row_number() OVER ({SERIES}) AS i FROM bars)",
+    f"""averages AS (
+  SELECT symbol, price_date, i, close_price AS ema_12, close_price AS ema_26,
+         0.0::DOUBLE AS macd_signal_line
+  FROM numbered WHERE i = 1
+  UNION ALL
+  SELECT n.symbol, n.price_date, n.i,
+         {smooth('n.close_price', 'e.ema_12', 12)} AS fast,
+         {smooth('n.close_price', 'e.ema_26', 26)} AS slow,
+         {smooth('fast - slow', 'e.macd_signal_line', 9)}
+  FROM averages e JOIN numbered n ON n.symbol = e.symbol AND n.i = e.i + 1)""",
+    "trend AS MATERIALIZED (SELECT *, ema_12 - ema_26 AS macd FROM averages)",
+]
+
+STATE = [
+    *MACD_EMA,
+    f"""steps AS (
+  SELECT n.*, t.macd, t.macd_signal_line, close_price - {lag('close_price')} AS change,
+         {lag('close_price')} AS prev_close,
+         greatest(high_price - low_price, abs(high_price - {lag('close_price')}),
+                  abs(low_price - {lag('close_price')})) AS tr,
+         greatest(high_price - low_price, high_price - close_price, close_price - low_price)
+           AS day_tr
+  FROM numbered n JOIN trend t USING (symbol, price_date, i))""",
+    f"""wide AS (
+  SELECT *, count(*) OVER (PARTITION BY symbol) AS n_bars,
+         avg(greatest(coalesce(change, 0), 0)) {rows(14)} AS up,
+         avg(greatest(-coalesce(change, 0), 0)) {rows(14)} AS down,
+         {full('avg(close_price)', 20)} AS sma_20, {full('avg(close_price)', 50)} AS sma_50,
+         {full('stddev_samp(close_price)', 20)} AS dev_20,
+         {full('avg(tr)', 14)} AS atr, {full('avg(day_tr)', 14)} AS atr_same_day,
+         {lag('macd')} AS prev_macd, {lag('macd_signal_line')} AS prev_line,
+         sum(CASE WHEN change > 0 THEN volume WHEN change < 0 THEN -volume ELSE 0 END)
+           {rows(19)} / 20 AS obv_slope,
+         max(high_price) {rows(30)} AS high_30, min(low_price) {rows(30)} AS low_30
+  FROM steps)""",
+    """state AS MATERIALIZED (
+  SELECT *, sma_20 + 2 * dev_20 AS bb_upper, sma_20 - 2 * dev_20 AS bb_lower,
+         CASE WHEN down > 0 THEN 100 - 100 / (1 + up / down) WHEN up > 0 THEN 100 END
+           AS rsi_partial,
+         CASE WHEN i >= 14 THEN rsi_partial END AS rsi
+  FROM wide WHERE i = n_bars)""",
+]
+
+OVERVIEW = [
+    BARS,
+    *STATE,
+    """voted AS (
+  SELECT *, CASE WHEN rsi < 30 THEN 'BUY' WHEN rsi > 70 THEN 'SELL' ELSE 'NEUTRAL' END
+           AS rsi_signal,
+         CASE WHEN macd > macd_signal_line AND prev_macd <= prev_line THEN 'BUY'
+              WHEN macd < macd_signal_line AND prev_macd >= prev_line THEN 'SELL'
+              ELSE 'NEUTRAL' END AS macd_signal,
+         CASE WHEN close_price < bb_lower THEN 'BUY' WHEN close_price > bb_upper THEN 'SELL'
+              ELSE 'NEUTRAL' END AS bb_signal,
+         CASE WHEN close_price > greatest(sma_20, sma_50) AND sma_50 IS NOT NULL THEN 'BULLISH'
+              WHEN close_price < least(sma_20, sma_50) AND sma_50 IS NOT NULL THEN 'BEARISH'
+              ELSE 'NEUTRAL' END AS trend_signal
+  FROM state WHERE n_bars >= 14)""",
+    """counted AS (
+  SELECT *, len(list_filter([rsi_signal, macd_signal, bb_signal, trend_signal],
+                            lambda x: x IN ('BUY', 'BULLISH')))
+          - len(list_filter([rsi_signal, macd_signal, bb_signal, trend_signal],
+                            lambda x: x IN ('SELL', 'BEARISH'))) AS margin
+  FROM voted)""",
+    f"""overview AS MATERIALIZED (
+  SELECT symbol, s_name AS name, sector, close_price,
+         {pct('close_price', 'prev_close')} AS change_pct, rsi, macd, macd_signal_line,
+         sma_20, sma_50, atr, bb_lower AS support, bb_upper AS resistance,
+         rsi_signal, macd_signal, bb_signal, trend_signal,
+         CASE WHEN margin > 1 THEN 'STRONG BUY' WHEN margin > 0 THEN 'BUY'
+              WHEN margin < -1 THEN 'STRONG SELL' WHEN margin < 0 THEN 'SELL'
+              ELSE 'HOLD' END AS overall_signal,
+         price_date AS last_updated
+  FROM counted JOIN supplier ON symbol = 'S' || s_suppkey)""",
+]
+OVERVIEW_EXACT = (
+    "symbol name sector close_price rsi_signal macd_signal bb_signal trend_signal "
+    "overall_signal last_updated"
+)
+OVERVIEW_ROUNDED = (
+    "change_pct rsi macd macd_signal_line sma_20 sma_50 atr support resistance"
+)
+
+FIBONACCI_LEVELS = """(VALUES ('0.0% (Low)', 0.0), ('23.6%', 0.236), ('38.2%', 0.382),
+  ('50.0%', 0.5), ('61.8%', 0.618), ('78.6%', 0.786), ('100% (High)', 1.0)) AS v(level, f)"""
+
+
+def analytics() -> dict[str, str]:
+    bars, state, close = [BARS], [BARS, *STATE], "symbol price_date close_price"
+    flags = """flags AS (
+  SELECT symbol, price_date,
+         n_bars >= 30 AND coalesce(rsi_partial < 30, false) AS rsi_buy,
+         n_bars >= 30 AND coalesce(rsi_partial > 70, false) AS rsi_sell,
+         n_bars >= 30 AND coalesce(macd > macd_signal_line AND prev_macd <= prev_line, false)
+           AS macd_buy,
+         n_bars >= 30 AND coalesce(macd < macd_signal_line AND prev_macd >= prev_line, false)
+           AS macd_sell,
+         n_bars >= 30 AND coalesce(close_price < bb_lower, false) AS bb_buy,
+         n_bars >= 30 AND coalesce(close_price > bb_upper, false) AS bb_sell,
+         n_bars >= 30 AND coalesce(obv_slope > 0, false) AS obv_buy,
+         n_bars >= 30 AND coalesce(obv_slope < 0, false) AS obv_sell
+  FROM state)"""
+    votes = """votes AS (
+  SELECT symbol,
+         CAST(rsi_buy::INT + macd_buy::INT + bb_buy::INT + obv_buy::INT AS INTEGER)
+           AS buy_signals,
+         CAST(rsi_sell::INT + macd_sell::INT + bb_sell::INT + obv_sell::INT AS INTEGER)
+           AS sell_signals
+  FROM flags)"""
+    ranked = """ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY price_date DESC) AS age,
+         lead(close_price) OVER (PARTITION BY symbol ORDER BY price_date DESC) AS before
+  FROM bars)"""
+    cents = ", ".join(
+        f"round_even({c}_price * 100, 0) / 100 AS {c}_price"
+        for c in ("open", "high", "low", "close")
+    )
+    strength = (
+        f"x AS (SELECT *, close_price - {lag('close_price')} AS change FROM bars),\n"
+        f"y AS (SELECT *, row_number() OVER ({SERIES}) AS i,"
+        f" avg(greatest(coalesce(change, 0), 0)) {rows(14)} AS up,"
+        f" avg(greatest(-coalesce(change, 0), 0)) {rows(14)} AS down FROM x),\n"
+        "z AS (SELECT *, CASE WHEN down > 0 THEN 100 - 100 / (1 + up / down)"
+        " WHEN up > 0 THEN 100 END AS rsi FROM y)"
+    )
+    ranges = (
+        "x AS (SELECT *, greatest(high_price - low_price, abs(high_price - close_price),"
+        " abs(low_price - close_price)) AS day_tr, greatest(high_price - low_price,"
+        f" abs(high_price - {lag('close_price')}), abs(low_price - {lag('close_price')})) AS tr"
+        " FROM bars)"
+    )
+    return {
+        "ema": query([BARS, *MACD_EMA], f"SELECT {out(close, 'ema_12 ema_26')} FROM trend "
+                     "JOIN bars USING (symbol, price_date)"),
+        "macd_ema": query(
+            [BARS, *MACD_EMA],
+            f"SELECT {out(close, 'macd macd_signal_line')},"
+            " round(macd - macd_signal_line, 6) + 0 AS macd_histogram"
+            " FROM trend JOIN bars USING (symbol, price_date)",
+        ),
+        "rsi_partial_window": query([BARS, strength], f"SELECT {out(close, 'rsi')} FROM z"),
+        "rsi_full_window": query(
+            [BARS, strength],
+            f"SELECT {out(close)}, CASE WHEN i >= 14 THEN round(rsi, 6) END AS rsi FROM z",
+        ),
+        "sma_full_window": query(
+            [
+                BARS,
+                f"x AS (SELECT *, {full('avg(close_price)', 20)} AS sma_20,"
+                f" {full('avg(close_price)', 50)} AS sma_50 FROM bars)",
+            ],
+            f"SELECT {out(close, 'sma_20 sma_50')} FROM x",
+        ),
+        "bollinger_full_window": query(
+            [
+                BARS,
+                f"x AS (SELECT *, {full('avg(close_price)', 20)} AS bb_middle,"
+                f" 2 * {full('stddev_samp(close_price)', 20)} AS band FROM bars)",
+                "y AS (SELECT *, bb_middle + band AS bb_upper, bb_middle - band AS bb_lower"
+                " FROM x)",
+            ],
+            f"SELECT {out(close, 'bb_middle bb_upper bb_lower')} FROM y",
+        ),
+        "atr_variants": query(
+            [
+                BARS,
+                ranges,
+                f"y AS (SELECT *, {full('avg(tr)', 14)} AS atr_previous_close,"
+                f" {full('avg(day_tr)', 14)} AS atr_same_day FROM x)",
+            ],
+            f"SELECT {out(close, 'atr_previous_close atr_same_day')} FROM y",
+        ),
+        "fibonacci": query(
+            state,
+            "SELECT symbol, level, round(CASE WHEN f = 1 THEN high_30 ELSE"
+            " low_30 + (high_30 - low_30) * CAST(f AS DOUBLE) END, 6) AS price"
+            f" FROM state CROSS JOIN {FIBONACCI_LEVELS} WHERE n_bars >= 30",
+        ),
+        "signal_flags": query([*state, flags], "SELECT * FROM flags"),
+        "recommendation": query(
+            [*state, flags, votes],
+            "SELECT *, CASE WHEN buy_signals > sell_signals THEN 'BUY'"
+            " WHEN sell_signals > buy_signals THEN 'SELL' ELSE 'HOLD' END AS overall FROM votes",
+        ),
+        "target_prices": query(
+            [
+                *state,
+                """goals AS (
+  SELECT *, close_price AS current_price, high_30 - low_30 AS span,
+         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.382::DOUBLE END AS fib_38,
+         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.618::DOUBLE END AS fib_61,
+         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.786::DOUBLE END AS fib_78,
+         CASE WHEN n_bars >= 30 THEN high_30 END AS fib_high,
+         CASE WHEN n_bars >= 30 THEN low_30 END AS support,
+         CASE WHEN n_bars >= 30 THEN high_30 END AS resistance,
+         close_price + 2 * atr_same_day AS upside_target,
+         close_price - 2 * atr_same_day AS downside_target
+  FROM state)""",
+            ],
+            "SELECT "
+            + out(
+                "symbol current_price fib_high support resistance",
+                "fib_38 fib_61 fib_78 sma_20 sma_50 upside_target downside_target",
+            )
+            + " FROM goals",
+        ),
+        "latest_change": query(
+            [
+                *bars,
+                ranked,
+                f"x AS (SELECT *, close_price - before AS price_change,"
+                f" {pct('close_price', 'before')} AS price_change_pct FROM ranked WHERE age = 1)",
+            ],
+            f"SELECT {out(close + ' price_change', 'price_change_pct')} FROM x",
+        ),
+        "recent_bars": query(
+            [*bars, ranked],
+            f"SELECT symbol, price_date, {cents}, volume FROM ranked WHERE age <= 10",
+        ),
+        "signal_overview": query(
+            OVERVIEW, f"SELECT {out(OVERVIEW_EXACT, OVERVIEW_ROUNDED)} FROM overview"
+        ),
+        "market_summary": query(
+            OVERVIEW,
+            "SELECT count(*) FILTER (overall_signal IN ('BUY', 'STRONG BUY')) AS buy_signals,"
+            " count(*) FILTER (overall_signal IN ('SELL', 'STRONG SELL')) AS sell_signals,"
+            " count(*) FILTER (overall_signal = 'HOLD') AS hold_signals,"
+            " count(DISTINCT sector) AS sectors FROM overview",
+        ),
+        "sector_signal_pivot": query(
+            OVERVIEW,
+            "SELECT sector, "
+            + ", ".join(
+                f"count(*) FILTER (overall_signal = '{n}') AS {n.lower().replace(' ', '_')}"
+                for n in ("STRONG BUY", "BUY", "HOLD", "SELL", "STRONG SELL")
+            )
+            + " FROM overview GROUP BY sector",
+        ),
+        "signal_distribution": query(
+            OVERVIEW, "SELECT overall_signal, count(*) AS symbols FROM overview GROUP BY 1"
+        ),
+        "signal_codes": query(
+            OVERVIEW,
+            "SELECT symbol, "
+            + ", ".join(
+                f"CAST(CASE WHEN {c}_signal IN ('BUY', 'BULLISH') THEN 1"
+                f" WHEN {c}_signal IN ('SELL', 'BEARISH') THEN -1 ELSE 0 END AS INTEGER)"
+                f" AS {c}_code"
+                for c in ("rsi", "macd", "bb", "trend")
+            )
+            + " FROM overview",
+        ),
+        "symbol_detail": query(
+            OVERVIEW,
+            f"SELECT {out(OVERVIEW_EXACT, OVERVIEW_ROUNDED)} FROM overview WHERE symbol = 'S7'",
+        ),
+        "strength_by_price": query(
+            OVERVIEW,
+            f"SELECT {out('symbol close_price overall_signal', 'rsi atr')} FROM overview",
+        ),
+    }
+
+
 def all_oracles() -> dict[str, str]:
-    return core()
+    return {**core(), **analytics()}

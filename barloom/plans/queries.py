@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators import features, indicators, mart, staging
+from barloom.operators import analytics, features, indicators, mart, signals, staging
 from barloom.plans import settings
-from barloom.sources.star_bars import raw_prices, star_bars
+from barloom.sources.star_bars import raw_prices, star_bars, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,16 +19,17 @@ EXACT = {
     "open_price", "high_price", "low_price", "close_price", "daily_range", "price_change",
     "intraday_return", "gain", "loss", "true_range", "momentum_1",
     "prev_close_1", "prev_close_3", "prev_close_5", "prev_close_7",
+    "current_price", "fib_high", "support", "resistance",
     "support_20", "resistance_20", "support_50", "resistance_50",
 }
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, exact: set[str] = EXACT) -> DataFrame:
     """Six decimal places for derived doubles, on output only."""
     return df.select(
         *[
             F.round(f.name, 6).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType) and f.name not in EXACT
+            if isinstance(f.dataType, T.DoubleType) and f.name not in exact
             else F.col(f.name)
             for f in df.schema.fields
         ]
@@ -129,5 +130,57 @@ def core() -> dict[str, Query]:
     }
 
 
+def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"),
+        F.col("s_name").alias("name"),
+    )
+    return signals.signal_overview(star_bars(spark, sf_dir), names)
+
+
+def on_overview(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    bands = {"support", "resistance"}  # here they are averages, in other relations extremes
+    return lambda s, d: rounded(operator(overview(s, d)), EXACT - bands)
+
+
+def per_symbol(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda s, d: rounded(operator(star_bars(s, d)))
+
+
+def per_symbol_analytics() -> dict[str, Query]:
+    def atr_variants(bars: DataFrame) -> DataFrame:
+        previous = analytics.average_true_range(bars).withColumnRenamed(
+            "atr", "atr_previous_close"
+        )
+        return analytics.average_true_range(previous, "same_day").withColumnRenamed(
+            "atr", "atr_same_day"
+        )
+
+    return {
+        "ema": per_symbol(analytics.ema),
+        "macd_ema": per_symbol(analytics.macd_ema),
+        "rsi_partial_window": on_bars(lambda b: analytics.rsi(b, min_rows=1), "rsi"),
+        "rsi_full_window": on_bars(analytics.rsi, "rsi"),
+        "sma_full_window": on_bars(analytics.simple_averages, "sma_20 sma_50"),
+        "bollinger_full_window": on_bars(analytics.bollinger, "bb_middle bb_upper bb_lower"),
+        "atr_variants": on_bars(atr_variants, "atr_previous_close atr_same_day"),
+        "fibonacci": per_symbol(analytics.fibonacci_levels),
+        "signal_flags": per_symbol(analytics.signal_flags),
+        "recommendation": per_symbol(
+            lambda b: analytics.recommendation(analytics.signal_flags(b))
+        ),
+        "target_prices": per_symbol(analytics.target_prices),
+        "latest_change": per_symbol(analytics.latest_change),
+        "recent_bars": lambda s, d: analytics.recent_bars(star_bars(s, d)),
+        "signal_overview": on_overview(lambda o: o),
+        "market_summary": on_overview(signals.market_summary),
+        "sector_signal_pivot": on_overview(signals.sector_pivot),
+        "signal_distribution": on_overview(signals.signal_distribution),
+        "signal_codes": on_overview(signals.signal_codes),
+        "symbol_detail": on_overview(lambda o: signals.symbol_detail(o, "S7")),
+        "strength_by_price": on_overview(signals.strength_by_price),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return core()
+    return {**core(), **per_symbol_analytics()}

@@ -19,6 +19,7 @@ if __name__ == "__main__":
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
