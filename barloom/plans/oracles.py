@@ -584,5 +584,284 @@ def analytics() -> dict[str, str]:
     }
 
 
+RAW_COLUMNS = (
+    "date symbol sector open_price high_price low_price close_price volume extraction_timestamp"
+)
+SCAN_COLUMNS = "date symbol sector open_price high_price low_price close_price volume"
+CUT = "DATE '2001-01-01'"
+AS_OF = "DATE '2001-11-04'"
+LISTED = """listed(symbol, sector) AS (VALUES ('S0', 'africa'), ('S1', 'africa'),
+  ('S2', 'africa'), ('S3', 'asia'), ('S4', 'asia'), ('S5', 'europe'), ('S6', 'europe'),
+  ('S7', 'europe'), ('S8', 'europe'))"""
+DELIVERED = """delivered AS (
+  SELECT *, CASE WHEN day(price_date) = 20 AND sector = 'asia' THEN 'n/a'
+                 ELSE CAST(price_date AS VARCHAR) || 'T00:00:00+10:00' END AS d_date,
+         CASE WHEN day(price_date) = 21 AND sector = 'africa' THEN NULL ELSE symbol END AS d_symbol,
+         day(price_date) = 22 AND sector = 'europe' AS no_close
+  FROM bars)"""
+
+
+def ingest() -> dict[str, str]:
+    raw = [BARS, RAW]
+    return {
+        "price_scan": query(
+            raw, f"SELECT {out(SCAN_COLUMNS)} FROM raw WHERE date >= {AS_OF} - INTERVAL 365 DAY"
+        ),
+        "symbol_scan": query(
+            raw,
+            f"SELECT {out(SCAN_COLUMNS)} FROM raw"
+            f" WHERE date >= {AS_OF} - INTERVAL 365 DAY AND symbol = 'S7'",
+        ),
+        "training_scan": query(
+            MART,
+            f"SELECT {out(MART_EXACT, MART_ROUNDED)} FROM mart"
+            f" WHERE price_date >= {AS_OF} - INTERVAL 1095 DAY",
+        ),
+        "full_refresh": query(
+            raw,
+            f"SELECT {out(RAW_COLUMNS)} FROM raw"
+            f" WHERE date >= {AS_OF} - INTERVAL 1825 DAY AND date < {AS_OF}",
+        ),
+        "incremental_window": query(
+            raw,
+            f"SELECT {out(RAW_COLUMNS)} FROM raw"
+            f" WHERE date >= {CUT} - INTERVAL 1 DAY AND date < {AS_OF}",
+        ),
+        "merge_upsert": query(
+            raw,
+            f"SELECT {out(RAW_COLUMNS)} FROM raw WHERE date < {AS_OF}"
+            " QUALIFY row_number() OVER (PARTITION BY date, symbol"
+            " ORDER BY extraction_timestamp DESC) = 1",
+        ),
+        "upsert_by_key": query(
+            STAGING,
+            "SELECT * REPLACE (CAST(CASE WHEN year(price_date) >= 2000 THEN volume * 2"
+            " ELSE volume END AS BIGINT) AS volume) FROM staged",
+        ),
+        "sector_dim": query(
+            [LISTED],
+            "SELECT symbol, sector, s_name FROM listed JOIN supplier ON symbol = 'S' || s_suppkey",
+        ),
+        "sector_tag": query(
+            [BARS, LISTED],
+            "SELECT b.symbol, price_date, coalesce(l.sector, 'unknown') AS sector"
+            " FROM bars b LEFT JOIN listed l ON b.symbol = l.symbol",
+        ),
+        "normalise_records": query(
+            [BARS, LISTED, DELIVERED],
+            "SELECT CAST(price_date AS TIMESTAMP) AS date, d.symbol,"
+            " coalesce(l.sector, 'unknown') AS sector, open_price, high_price, low_price,"
+            " close_price, volume, '2002-01-02T00:00:00' AS extraction_timestamp"
+            " FROM delivered d LEFT JOIN listed l ON d.symbol = l.symbol"
+            " WHERE d_date <> 'n/a' AND d_symbol IS NOT NULL AND NOT no_close",
+        ),
+        "record_rejects": query(
+            [BARS, DELIVERED],
+            "SELECT d_date AS delivered_date, d_symbol AS delivered_symbol,"
+            " CASE WHEN d_symbol IS NULL THEN 'missing symbol' WHEN d_date = 'n/a'"
+            " THEN 'invalid date' ELSE 'invalid close_price' END AS reason FROM delivered"
+            " WHERE d_date = 'n/a' OR d_symbol IS NULL OR no_close",
+        ),
+        "raw_info": query(
+            raw,
+            "SELECT count(*) AS records, min(date) AS min_date, max(date) AS max_date,"
+            " count(DISTINCT symbol) AS symbols FROM raw",
+        ),
+        "mart_info": query(
+            MART,
+            "SELECT count(*) AS records, min(price_date) AS min_date,"
+            " max(price_date) AS max_date, count(DISTINCT symbol) AS symbols FROM mart",
+        ),
+        "watermark_dates": query(
+            STAGING,
+            "SELECT max(price_date) AS watermark,"
+            " CAST(max(price_date) - INTERVAL 200 DAY AS DATE) AS indicators_from,"
+            " CAST(max(price_date) - INTERVAL 7 DAY AS DATE) AS features_from,"
+            " CAST(max(price_date) - INTERVAL 21 DAY AS DATE) AS mart_from FROM staged",
+        ),
+        "event_indicators": query(
+            [
+                """ticks AS (
+  SELECT event_type AS symbol, CAST(ts AS DATE) AS price_date, 'unknown' AS sector,
+         arg_min(value, struct_pack(t := ts, e := event_id)) AS open_price,
+         max(value) AS high_price, min(value) AS low_price,
+         arg_max(value, struct_pack(t := ts, e := event_id)) AS close_price, count(*) AS volume
+  FROM events GROUP BY 1, 2)""",
+                *indicator_parts("ticks"),
+            ],
+            f"SELECT {out(INDICATOR_EXACT, INDICATOR_ROUNDED)} FROM indicators",
+        ),
+        "stream_ingest": query(STAGING, f"SELECT {out(STAGED_EXACT)} FROM staged"),
+        "stream_dedup": query(STAGING, "SELECT symbol, price_date FROM staged"),
+    }
+
+
+def incremental_runs() -> dict[str, str]:
+    before = f"before AS MATERIALIZED (SELECT * FROM staged WHERE price_date <= {CUT})"
+    last = "(SELECT max(price_date) FROM before)"
+    shown = out(INDICATOR_EXACT, INDICATOR_ROUNDED)
+    full = query(INDICATORS, f"SELECT {shown} FROM indicators")
+    features = out(FEATURE_EXACT + " sector", FEATURE_ROUNDED)
+    labelled = out(MART_EXACT, MART_ROUNDED)
+    return {
+        "ti_incremental_calendar": query(
+            [
+                *STAGING,
+                before,
+                *indicator_parts("before", "old_"),
+                f"redone AS MATERIALIZED (SELECT * FROM staged"
+                f" WHERE price_date >= {last} - INTERVAL 200 DAY)",
+                *indicator_parts("redone", "new_"),
+            ],
+            f"SELECT {shown} FROM new_indicators UNION ALL SELECT {shown} FROM old_indicators"
+            " WHERE (symbol, price_date) NOT IN (SELECT (symbol, price_date) FROM redone)",
+        ),
+        "ti_incremental_rows": full,
+        "ti_late_corrections": full,
+        "features_incremental": query(
+            [*FEATURES, before], f"SELECT {features} FROM features WHERE price_date > {last}"
+        ),
+        "features_incremental_calendar": query(
+            [
+                *INDICATORS,
+                before,
+                f"near_indicators AS MATERIALIZED (SELECT * FROM indicators"
+                f" WHERE price_date >= {last} - INTERVAL 7 DAY)",
+                *feature_parts("near_"),
+            ],
+            f"SELECT {features} FROM near_features WHERE price_date > {last}",
+        ),
+        "mart_incremental": query(MART, f"SELECT {labelled} FROM mart"),
+        "mart_incremental_calendar": query(
+            [
+                *FEATURES,
+                f"old_features AS MATERIALIZED (SELECT * FROM features WHERE price_date <= {CUT})",
+                *mart_parts("old_"),
+                "near_features AS MATERIALIZED (SELECT * FROM features WHERE price_date >="
+                " (SELECT max(price_date) FROM old_mart) - INTERVAL 21 DAY)",
+                *mart_parts("near_"),
+            ],
+            f"SELECT {labelled} FROM old_mart UNION ALL SELECT {labelled} FROM near_mart"
+            " WHERE price_date > (SELECT max(price_date) FROM old_mart)",
+        ),
+    }
+
+
+FEATURE_VECTOR = (
+    "daily_range sma_7 sma_14 sma_30 sma_50 sma_200 rsi_14 macd_line macd_signal macd_histogram "
+    "bb_position atr_14 volume_ratio obv volatility_20 lag_1_day_return lag_3_day_return "
+    "lag_5_day_return lag_7_day_return momentum_7 momentum_14 momentum_30 momentum_1 "
+    "ma_crossover_distance short_term_trend price_position_20 price_position_50 sector_code"
+)
+
+
+def checks_and_models() -> dict[str, str]:
+    def failing(table: str, relation: str, column: str, check: str, bad: str) -> str:
+        return (
+            f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{check}' AS check_name,"
+            f" count(*) FILTER ({bad}) AS failing_rows FROM {relation}"
+        )
+
+    prices = "open_price high_price low_price close_price volume".split()
+    sectors = "('africa', 'america', 'asia')"
+
+    def null_checks(table: str, relation: str, columns: list[str]) -> list[str]:
+        return [failing(table, relation, c, "not_null", f"{c} IS NULL") for c in columns]
+
+    staged = [
+        *null_checks("staged_prices", "staged", ["price_date", "symbol", "sector", *prices]),
+        failing("staged_prices", "staged", "sector", "accepted_values", f"sector NOT IN {sectors}"),
+        *[
+            failing("staged_prices", "staged", c, "not_negative", f"{c} < 0")
+            for c in [*prices, "daily_range"]
+        ],
+    ]
+
+    def repeated(key: str, where: str) -> str:
+        return (
+            f"SELECT 'staged_prices', '{key}', 'unique', count(*) FROM"
+            f" (SELECT 1 FROM staged {where} GROUP BY {key} HAVING count(*) > 1)"
+        )
+
+    report = [
+        *null_checks("raw_prices", "raw", ["date", "symbol", "sector", *prices]),
+        failing(
+            "raw_prices", "raw", "sector", "accepted_values",
+            "sector NOT IN ('AFRICA', 'AMERICA', 'ASIA')",
+        ),
+        *staged,
+        repeated("symbol, price_date", ""),
+        *null_checks("technical_indicators", "indicators", ["symbol", "price_date"]),
+        *null_checks("ml_features", "features", ["symbol", "price_date"]),
+        *null_checks(
+            "training_mart", "mart",
+            "symbol price_date close_price next_day_return next_week_return split "
+            "fold_number".split(),
+        ),
+        failing(
+            "training_mart", "mart", "split", "accepted_values",
+            "split NOT IN ('train', 'validation', 'test')",
+        ),
+    ]
+    flagged = "SELECT *, failing_rows = 0 AS passed FROM ({})"
+    union = "\nUNION ALL "
+    complete = (
+        "complete AS MATERIALIZED (SELECT *, CAST(CASE WHEN next_day_return > 1.0 THEN 1 ELSE 0 END"
+        " AS INTEGER) AS label, row_number() OVER (ORDER BY symbol, price_date) - 1 AS position"
+        " FROM mart WHERE COLUMNS(["
+        + ", ".join(f"'{c}'" for c in FEATURE_VECTOR.split())
+        + "]) IS NOT NULL)"
+    )
+    sized = "sized AS (SELECT count(*) AS n FROM complete)"
+    folds = """folds AS (
+  SELECT CAST(fold AS INTEGER) AS fold, fold * (n // 6) AS train_end,
+         (fold + 1) * (n // 6) AS test_end
+  FROM sized, range(1, 6) AS f(fold))"""
+    return {
+        "quality_report": query(MART, flagged.format(union.join(report))),
+        "quality_unique_where": query(
+            STAGING,
+            flagged.format(
+                union.join([*staged, repeated("price_date", "WHERE sector = 'europe'")])
+            ),
+        ),
+        "binary_target": query([*MART, complete], "SELECT symbol, price_date, label FROM complete"),
+        "holdout_split": query(
+            [*MART, complete, sized],
+            "SELECT symbol, price_date, position,"
+            " CASE WHEN position < n - (n * 2 + 9) // 10 THEN 'train' ELSE 'test' END AS role"
+            " FROM complete, sized",
+        ),
+        "cv_folds": query(
+            [*MART, complete, sized, folds],
+            "SELECT fold, CASE WHEN position < train_end THEN 'train' ELSE 'test' END AS role,"
+            " count(*) AS rows, min(position) AS first_position, max(position) AS last_position,"
+            " min(symbol) AS first_symbol, max(symbol) AS last_symbol"
+            " FROM complete JOIN folds ON position < test_end GROUP BY 1, 2",
+        ),
+        "classification_metrics": query(
+            [
+                *MART,
+                complete,
+                """counted AS (
+  SELECT count(*) AS n, count(*) FILTER (label = (rsi_14 < 30)::INT) AS correct,
+         count(*) FILTER (label = 1 AND rsi_14 < 30) AS hits,
+         count(*) FILTER (rsi_14 < 30) AS guessed, count(*) FILTER (label = 1) AS actual
+  FROM complete)""",
+            ],
+            "SELECT round(correct / n, 6) AS accuracy,"
+            " round(coalesce(hits / nullif(guessed, 0), 0), 6) AS precision,"
+            " round(coalesce(hits / nullif(actual, 0), 0), 6) AS recall,"
+            " round(coalesce(2 * hits / nullif(guessed + actual, 0), 0), 6) AS f1 FROM counted",
+        ),
+    }
+
+
 def all_oracles() -> dict[str, str]:
-    return {**core(), **analytics()}
+    return {
+        **core(),
+        **analytics(),
+        **ingest(),
+        **incremental_runs(),
+        **checks_and_models(),
+    }

@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators import analytics, features, indicators, mart, signals, staging
+from barloom import schemas
+from barloom.operators import (
+    analytics,
+    features,
+    forecast,
+    incremental,
+    indicators,
+    learning,
+    mart,
+    quality,
+    signals,
+    staging,
+)
 from barloom.plans import settings
-from barloom.sources.star_bars import raw_prices, star_bars, table
+from barloom.scratch import durable, fresh_path
+from barloom.sources import prices
+from barloom.sources.star_bars import event_ticks, raw_prices, star_bars, table
+from barloom.sources.tables import KeyedTable, merge_rows, watermark
+from barloom.streaming import ingest as stream_in
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,5 +199,344 @@ def per_symbol_analytics() -> dict[str, Query]:
     }
 
 
+def keyed(spark: SparkSession, name: str, schema: T.StructType, day: str = "price_date"):
+    """An empty yearly table in a new folder of the shared folder."""
+    return KeyedTable(fresh_path(spark, name), schema, day, "year")
+
+
+def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars as a provider delivers them: text fields, zoned dates, some bad values."""
+    day, sector = F.dayofmonth("price_date"), F.col("sector")
+    return star_bars(spark, sf_dir).select(
+        F.when((day == 20) & (sector == "asia"), F.lit("n/a"))
+        .otherwise(F.concat(F.col("price_date").cast("string"), F.lit("T00:00:00+10:00")))
+        .alias("Date"),
+        F.when((day == 21) & (sector == "africa"), F.lit(None)).otherwise(F.col("symbol")).alias(
+            "Symbol"
+        ),
+        F.col("open_price").cast("string").alias("Open"),
+        F.col("high_price").cast("string").alias("High"),
+        F.col("low_price").cast("string").alias("Low"),
+        F.when((day == 22) & (sector == "europe"), F.lit("-"))
+        .otherwise(F.col("close_price").cast("string"))
+        .alias("Close"),
+        F.concat(F.col("volume").cast("string"), F.lit(".0")).alias("Volume"),
+    )
+
+
+def land(spark: SparkSession, sf_dir: str) -> str:
+    """Raw prices as landing files, one folder per year of the bar."""
+    path = fresh_path(spark, "landing")
+    raw = raw_prices(spark, sf_dir).withColumn("landed", F.coalesce(F.year("date"), F.lit(0)))
+    raw.hint("rebalance", "landed").write.partitionBy("landed").parquet(path)
+    return path
+
+
+def ingest() -> dict[str, Query]:
+    def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = keyed(spark, "raw", schemas.RAW, "date")
+        raw.replace(prices.full_history(raw_prices(spark, sf_dir), settings.AS_OF))
+        return raw.read(spark)
+
+    def incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+        start = prices.fetch_start(settings.CUT, settings.AS_OF)
+        return prices.fetch(raw_prices(spark, sf_dir), start, settings.AS_OF)
+
+    def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = keyed(spark, "raw", schemas.RAW, "date")
+        source = raw_prices(spark, sf_dir)
+        first = datetime.date(1990, 1, 1)
+        raw.upsert(prices.fetch(source, first, settings.CUT), prices.latest_record)
+        start = prices.fetch_start(settings.CUT, settings.AS_OF)
+        raw.upsert(prices.fetch(source, start, settings.AS_OF), prices.latest_record)
+        return raw.read(spark)
+
+    def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = staged_prices(spark, sf_dir)
+        table = keyed(spark, "staged", schemas.STAGED)
+        table.replace(staged.filter(F.col("price_date") <= F.lit(settings.CUT)))
+        changed = staged.filter(F.year("price_date") >= 2000)
+        table.upsert(changed.withColumn("volume", F.col("volume") * 2))
+        return table.read(spark)
+
+    def sector_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+        listed = prices.sector_dim(spark, settings.SECTORS)
+        suppliers = table(spark, sf_dir, "supplier").select(
+            F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"), "s_name"
+        )
+        return suppliers.join(listed, "symbol").select("symbol", "sector", "s_name")
+
+    def sector_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+        listed = prices.sector_dim(spark, settings.SECTORS)
+        return prices.tag_sector(star_bars(spark, sf_dir), listed).select(
+            "symbol", "price_date", "sector"
+        )
+
+    def normalise_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+        listed = prices.sector_dim(spark, settings.SECTORS)
+        return prices.normalise(delivered(spark, sf_dir), listed, "2002-01-02T00:00:00")
+
+    def record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return prices.rejects(delivered(spark, sf_dir)).select(
+            "delivered_date", "delivered_symbol", "reason"
+        )
+
+    def mart_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return prices.dataset_info(mart_table(spark, sf_dir).withColumnRenamed("price_date", "date"))
+
+    def watermark_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+        newest = staging.standardise(raw_prices(spark, sf_dir)).agg(
+            F.max("price_date").alias("watermark")
+        )
+        return newest.select(
+            "watermark",
+            F.date_sub("watermark", incremental.INDICATOR_DAYS).alias("indicators_from"),
+            F.date_sub("watermark", incremental.FEATURE_DAYS).alias("features_from"),
+            F.date_sub("watermark", incremental.TARGET_DAYS).alias("mart_from"),
+        )
+
+    def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = keyed(spark, "staged", schemas.STAGED)
+        stream = stream_in.price_stream(spark, land(spark, sf_dir), files_per_trigger=4)
+        stream_in.ingest_available(stream, table, fresh_path(spark, "stream"))
+        return table.read(spark)
+
+    def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = fresh_path(spark, "first-seen")
+        stream = stream_in.price_stream(spark, land(spark, sf_dir))
+        first = stream_in.first_seen(stream).select("symbol", "price_date")
+        stream_in.append_available(first, out, fresh_path(spark, "stream"))
+        return spark.read.parquet(out)
+
+    return {
+        "price_scan": lambda s, d: prices.price_scan(raw_prices(s, d), settings.AS_OF),
+        "symbol_scan": lambda s, d: prices.price_scan(
+            raw_prices(s, d), settings.AS_OF, symbol="S7"
+        ),
+        "training_scan": lambda s, d: rounded(
+            prices.training_scan(mart_table(s, d), settings.AS_OF)
+        ),
+        "full_refresh": full_refresh,
+        "incremental_window": incremental_window,
+        "merge_upsert": merge_upsert,
+        "upsert_by_key": upsert_by_key,
+        "sector_dim": sector_dim,
+        "sector_tag": sector_tag,
+        "normalise_records": normalise_records,
+        "record_rejects": record_rejects,
+        "raw_info": lambda s, d: prices.dataset_info(raw_prices(s, d)),
+        "mart_info": mart_info,
+        "watermark_dates": watermark_dates,
+        "event_indicators": lambda s, d: rounded(
+            indicators.technical_indicators(
+                event_ticks(s, d).withColumn("daily_range", F.col("high_price") - F.col("low_price"))
+            )
+        ),
+        "stream_ingest": stream_ingest,
+        "stream_dedup": stream_dedup,
+    }
+
+
+def incremental_runs() -> dict[str, Query]:
+    def up_to_cut(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("price_date") <= F.lit(settings.CUT))
+
+    def stored_indicators(staged: DataFrame) -> tuple[DataFrame, datetime.date]:
+        stored = durable(indicators.technical_indicators(up_to_cut(staged)))
+        return stored, watermark(stored)
+
+    def ti_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = durable(staged_prices(spark, sf_dir))
+        stored, until = stored_indicators(staged)
+        return rounded(merge_rows(stored, incremental.calendar_indicators(staged, until)))
+
+    def ti_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = durable(staged_prices(spark, sf_dir))
+        stored, until = stored_indicators(staged)
+        added = incremental.incremental_indicators(stored, staged, until)
+        return rounded(merge_rows(stored, added))
+
+    def ti_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = durable(staged_prices(spark, sf_dir))
+        late = (F.col("sector") == "asia") & (F.year("price_date") == 1999)
+        stored, until = stored_indicators(staged.filter(~late))
+        changes = staged.filter(late | (F.col("price_date") > F.lit(until)))
+        redone = incremental.refresh_indicators(stored, staged, changes, until)
+        return rounded(merge_rows(stored, redone))
+
+    def features_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = durable(staged_prices(spark, sf_dir))
+        full = durable(indicators.technical_indicators(staged))
+        until = watermark(up_to_cut(full))
+        return rounded(incremental.incremental_features(full, staged, until))
+
+    def features_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = durable(staged_prices(spark, sf_dir))
+        full = durable(indicators.technical_indicators(staged))
+        until = watermark(up_to_cut(full))
+        return rounded(incremental.calendar_features(full, staged, until))
+
+    def mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+        full = durable(feature_table(spark, sf_dir))
+        table = keyed(spark, "mart", schemas.MART)
+        table.replace(mart.training_mart(up_to_cut(full), settings.MART))
+        until = watermark(up_to_cut(full))
+        table.upsert(incremental.incremental_mart(full, until, settings.MART))
+        return rounded(table.read(spark))
+
+    def mart_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+        full = durable(feature_table(spark, sf_dir))
+        stored = durable(mart.training_mart(up_to_cut(full), settings.MART))
+        added = incremental.calendar_mart(full, watermark(stored), settings.MART)
+        return rounded(merge_rows(stored, added))
+
+    return {
+        "ti_incremental_calendar": ti_calendar,
+        "ti_incremental_rows": ti_rows,
+        "ti_late_corrections": ti_late,
+        "features_incremental": features_rows,
+        "features_incremental_calendar": features_calendar,
+        "mart_incremental": mart_rows,
+        "mart_incremental_calendar": mart_calendar,
+    }
+
+
+def checks_and_models() -> dict[str, Query]:
+    forest = {"numTrees": 10, "maxDepth": 5}
+    boosted = {"maxIter": 5, "maxDepth": 4}
+    upper = ["AFRICA", "AMERICA", "ASIA"]
+    lower = [s.lower() for s in upper]
+
+    def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = durable(staged_prices(spark, sf_dir))
+        ti = durable(indicators.technical_indicators(staged, keep=["sector"]))
+        feats = durable(features.ml_features(ti))
+        return quality.quality_report(
+            [
+                (raw_prices(spark, sf_dir), quality.raw_checks(upper)),
+                (staged, quality.staged_checks(lower)),
+                (ti, quality.INDICATOR_CHECKS),
+                (feats, quality.FEATURE_CHECKS),
+                (mart.training_mart(feats, settings.MART), quality.MART_CHECKS),
+            ]
+        )
+
+    def unique_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+        checks = quality.staged_checks(lower, unique_where="sector = 'europe'")
+        return quality.quality_report([(staged_prices(spark, sf_dir), checks)])
+
+    def binary_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return learning.complete_rows(mart_table(spark, sf_dir)).select(
+            "symbol", "price_date", "label"
+        )
+
+    def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame = learning.training_frame(mart_table(spark, sf_dir))
+        cut = learning.holdout_start(frame.count())
+        return frame.select(
+            "symbol",
+            "price_date",
+            "position",
+            F.when(F.col("position") < cut, "train").otherwise("test").alias("role"),
+        )
+
+    def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame = learning.training_frame(mart_table(spark, sf_dir))
+        position = F.col("position")
+        roles = F.array(
+            *[
+                F.struct(
+                    F.lit(f.fold).alias("fold"),
+                    F.when(position < f.train_end, "train")
+                    .when(position < f.test_end, "test")
+                    .alias("role"),
+                )
+                for f in learning.walk_forward_folds(frame.count())
+            ]
+        )
+        used = frame.select("symbol", "position", F.inline(roles)).filter(F.col("role").isNotNull())
+        return used.groupBy("fold", "role").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min("position").alias("first_position"),
+            F.max("position").alias("last_position"),
+            F.min("symbol").alias("first_symbol"),
+            F.max("symbol").alias("last_symbol"),
+        )
+
+    def rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+        guessed = learning.complete_rows(mart_table(spark, sf_dir)).withColumn(
+            "prediction", (F.col("rsi_14") < 30).cast("int")
+        )
+        return rounded(learning.classification_metrics(guessed))
+
+    def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return durable(mart_table(spark, sf_dir))
+
+    def forest_model(spark: SparkSession, sf_dir: str) -> tuple[learning.Trained, DataFrame]:
+        data = stored_mart(spark, sf_dir)
+        return learning.train_model(data, **forest), data
+
+    def trained_row(model_type: str, params: dict) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            done = learning.train_model(
+                stored_mart(spark, sf_dir), model_type=model_type, **params
+            )
+            row = (done.model_type, len(done.features), *done.metrics.values())
+            return spark.createDataFrame(
+                [row],
+                "model_type string, features int, accuracy double, precision double, "
+                "recall double, f1 double",
+            )
+
+        return run
+
+    def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+        done, _ = forest_model(spark, sf_dir)
+        return learning.top_features(learning.feature_importance(spark, done.model))
+
+    def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+        done, data = forest_model(spark, sf_dir)
+        return learning.prediction_report(done.model, data)
+
+    def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+        done, data = forest_model(spark, sf_dir)
+        folder = fresh_path(spark, "models")
+        stamp = datetime.datetime.combine(settings.AS_OF, datetime.time())
+        learning.save_model(spark, done, folder, stamp)
+        loaded, _ = learning.latest_model(spark, folder)
+        return learning.prediction_counts(learning.prediction_report(loaded, data))
+
+    def price_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return forecast.forecast(star_bars(spark, sf_dir))
+
+    def price_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bars = star_bars(spark, sf_dir)
+        return forecast.forecast_metrics(bars, forecast.forecast(bars))
+
+    return {
+        "quality_report": report,
+        "quality_unique_where": unique_where,
+        "binary_target": binary_target,
+        "holdout_split": holdout_split,
+        "cv_folds": cv_folds,
+        "classification_metrics": rule_metrics,
+        "rf_train": trained_row("random_forest", forest),
+        "gbt_train": trained_row("gradient_boosting", boosted),
+        "feature_importance": importance,
+        "predictions": predictions,
+        "last_predictions": lambda s, d: learning.last_predictions(predictions(s, d)),
+        "model_registry": registry,
+        "cv_metrics": lambda s, d: learning.cross_validate(stored_mart(s, d), **forest),
+        "forecast": price_forecast,
+        "forecast_metrics": price_forecast_metrics,
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**core(), **per_symbol_analytics()}
+    return {
+        **core(),
+        **per_symbol_analytics(),
+        **ingest(),
+        **incremental_runs(),
+        **checks_and_models(),
+    }
