@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.series import by_symbol, close, earlier, percent_change, ratio, rolling
 from barloom.schemas import FEATURES
+from barloom.scratch import durable
 
 # Look-back lengths in rows.
 LAG_ROWS = (1, 3, 5, 7)
@@ -74,28 +75,32 @@ def stable_sector(staged: DataFrame) -> DataFrame:
     return staged.groupBy("symbol").agg(F.min_by("sector", "price_date").alias("sector"))
 
 
-def sector_momentum(bars: DataFrame) -> DataFrame:
+def sector_momentum(bars: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
     """Mean 1/3/7-row return of a sector on a day, attached to each of its symbols.
 
-    ``bars`` needs symbol, sector, price_date and close_price. The means come from a
-    partial aggregation per (sector, day) and are joined back, because a window
-    over a sector that holds a third of the symbols would sit in a single task. Spark
-    broadcasts the means while they are below its size threshold; above it the join
-    shuffles and adaptive skew handling splits a large sector.
+    ``bars`` needs symbol, sector, price_date and close_price. A window over (sector, day)
+    would put a sector with a third of all symbols into single tasks, so the means are
+    partially aggregated, stored once and joined back: by broadcast if there are at
+    most ``broadcast_rows`` of them, else by a shuffle whose large sectors adaptive
+    execution splits.
     """
+    first_sector = F.first("sector").over(by_symbol()).alias("sector")
     returns = bars.select(
         "symbol",
         "price_date",
-        F.first("sector").over(by_symbol()).alias("sector"),
+        first_sector,
         *[_lag_return(n).alias(f"return_{n}") for n in SECTOR_RETURN_ROWS],
     )
-    means = returns.groupBy("sector", "price_date").agg(
-        *[F.avg(f"return_{n}").alias(f"sector_{n}_day_return") for n in SECTOR_RETURN_ROWS]
+    means = durable(
+        returns.groupBy(F.col("sector").alias("of_sector"), F.col("price_date").alias("of_day")).agg(
+            *[F.avg(f"return_{n}").alias(f"sector_{n}_day_return") for n in SECTOR_RETURN_ROWS]
+        )
     )
-    members = bars.select(
-        "symbol", "price_date", F.first("sector").over(by_symbol()).alias("sector")
-    )
-    return members.join(means, ["sector", "price_date"]).select(
+    if means.count() <= broadcast_rows:
+        means = F.broadcast(means)
+    members = bars.select("symbol", "price_date", first_sector)
+    same = F.col("sector").eqNullSafe(F.col("of_sector")) & (F.col("price_date") == F.col("of_day"))
+    return members.join(means, same).select(
         "symbol",
         "price_date",
         "sector",

@@ -791,7 +791,9 @@ def checks_and_models() -> dict[str, str]:
         ),
         *staged,
         repeated("symbol, price_date", ""),
-        *null_checks("technical_indicators", "indicators", ["symbol", "price_date"]),
+        *null_checks(
+            "technical_indicators", "indicators", ["symbol", "price_date", "close_price"]
+        ),
         *null_checks("ml_features", "features", ["symbol", "price_date"]),
         *null_checks(
             "training_mart", "mart",

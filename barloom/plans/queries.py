@@ -25,7 +25,7 @@ from barloom.operators import (
 from barloom.plans import settings
 from barloom.scratch import durable, fresh_path
 from barloom.sources import prices
-from barloom.sources.star_bars import event_ticks, raw_prices, star_bars, table
+from barloom.sources.star_bars import event_ticks, raw_prices, star_bars, symbol_of, table
 from barloom.sources.tables import KeyedTable, merge_rows, watermark
 from barloom.streaming import ingest as stream_in
 
@@ -149,7 +149,7 @@ def core() -> dict[str, Query]:
 
 def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"),
+        symbol_of("s_suppkey").alias("symbol"),
         F.col("s_name").alias("name"),
     )
     return signals.signal_overview(star_bars(spark, sf_dir), names)
@@ -262,7 +262,7 @@ def ingest() -> dict[str, Query]:
     def sector_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed = prices.sector_dim(spark, settings.SECTORS)
         suppliers = table(spark, sf_dir, "supplier").select(
-            F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"), "s_name"
+            symbol_of("s_suppkey").alias("symbol"), "s_name"
         )
         return suppliers.join(listed, "symbol").select("symbol", "sector", "s_name")
 
@@ -425,13 +425,16 @@ def checks_and_models() -> dict[str, Query]:
         checks = quality.staged_checks(lower, unique_where="sector = 'europe'")
         return quality.quality_report([(staged_prices(spark, sf_dir), checks)])
 
+    def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return durable(mart_table(spark, sf_dir))
+
     def binary_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         return learning.complete_rows(mart_table(spark, sf_dir)).select(
             "symbol", "price_date", "label"
         )
 
     def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frame = learning.training_frame(mart_table(spark, sf_dir))
+        frame = learning.training_frame(stored_mart(spark, sf_dir))
         cut = learning.holdout_start(frame.count())
         return frame.select(
             "symbol",
@@ -441,7 +444,7 @@ def checks_and_models() -> dict[str, Query]:
         )
 
     def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frame = learning.training_frame(mart_table(spark, sf_dir))
+        frame = learning.training_frame(stored_mart(spark, sf_dir))
         position = F.col("position")
         roles = F.array(
             *[
@@ -469,9 +472,6 @@ def checks_and_models() -> dict[str, Query]:
         )
         return rounded(learning.classification_metrics(guessed))
 
-    def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return durable(mart_table(spark, sf_dir))
-
     def forest_model(spark: SparkSession, sf_dir: str) -> tuple[learning.Trained, DataFrame]:
         data = stored_mart(spark, sf_dir)
         return learning.train_model(data, **forest), data

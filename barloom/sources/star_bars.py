@@ -7,7 +7,7 @@ holds a large share of the lines, and the joins only see finished bars.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 OHLCV = ["open_price", "high_price", "low_price", "close_price", "volume"]
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def symbol_of(supplier: str) -> Column:
+    return F.concat(F.lit("S"), F.col(supplier).cast("string"))
+
+
 def star_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, sector, price_date, open/high/low/close_price, volume."""
     price = F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))
@@ -37,14 +41,11 @@ def star_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", F.lower("r_name").alias("sector"))
-    )
-    return bars.join(sectors, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
-        "sector",
-        "price_date",
-        *OHLCV,
+        .select(symbol_of("s_suppkey").alias("symbol"), F.lower("r_name").alias("sector"))
     )
+    # Joined on the symbol itself: windows by symbol can then reuse the partitioning.
+    named = bars.withColumn("symbol", symbol_of("l_suppkey"))
+    return named.join(sectors, "symbol").select("symbol", "sector", "price_date", *OHLCV)
 
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
