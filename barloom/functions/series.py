@@ -51,7 +51,7 @@ def later(value: Column | str, rows: int = 1) -> Column:
 
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that is NULL, not an error, when the denominator is zero."""
-    return numerator / F.nullif(denominator, F.lit(0.0))
+    return F.try_divide(numerator, denominator)
 
 
 def percent_change(now: Column, base: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +18,28 @@ RANGE_ROWS = (20, 50)
 SECTOR_RETURN_ROWS = (1, 3, 7)
 
 
-def _lag_return(rows: int) -> Column:
-    return percent_change(close(), earlier(close(), rows))
+def _with_earlier(bars: DataFrame, rows: Iterable[int]) -> DataFrame:
+    """Adds each earlier close once, so that several expressions share one lag."""
+    missing = [n for n in sorted(set(rows)) if f"close_{n}_ago" not in bars.columns]
+    return bars.withColumns({f"close_{n}_ago": earlier(close(), n) for n in missing})
+
+
+def _change_since(rows: int) -> Column:
+    return percent_change(close(), F.col(f"close_{rows}_ago"))
+
+
+def _lag_columns() -> dict[str, Column]:
+    return {f"lag_{n}_day_return": _change_since(n) for n in LAG_ROWS}
+
+
+def _momentum_columns() -> dict[str, Column]:
+    columns = {f"momentum_{n}": _change_since(n) for n in MOMENTUM_ROWS}
+    return {**columns, "momentum_1": close() - F.col("close_1_ago")}
 
 
 def lag_returns(bars: DataFrame) -> DataFrame:
-    return bars.withColumns({f"lag_{n}_day_return": _lag_return(n) for n in LAG_ROWS})
+    added = _lag_columns()
+    return _with_earlier(bars, LAG_ROWS).withColumns(added).select(*bars.columns, *added)
 
 
 def previous_closes(bars: DataFrame) -> DataFrame:
@@ -29,26 +47,30 @@ def previous_closes(bars: DataFrame) -> DataFrame:
 
 
 def momentum(bars: DataFrame) -> DataFrame:
-    columns = {f"momentum_{n}": _lag_return(n) for n in MOMENTUM_ROWS}
-    columns["momentum_1"] = close() - earlier(close())
-    return bars.withColumns(columns)
+    added = _momentum_columns()
+    longer = _with_earlier(bars, (1, *MOMENTUM_ROWS))
+    return longer.withColumns(added).select(*bars.columns, *added)
 
 
 def average_crosses(indicators: DataFrame) -> DataFrame:
     """Days on which the 50-row average crosses the 200-row average, and the distances."""
     short, long = F.col("sma_50"), F.col("sma_200")
-    prev_short, prev_long = earlier(short), earlier(long)
+    prev_short, prev_long = F.col("prev_short"), F.col("prev_long")
 
     def flag(condition: Column) -> Column:
         return F.when(condition, 1).otherwise(0)
 
-    return indicators.withColumns(
-        {
-            "golden_cross_signal": flag((short > long) & (prev_short <= prev_long)),
-            "death_cross_signal": flag((short < long) & (prev_short >= prev_long)),
-            "ma_crossover_distance": short - long,
-            "short_term_trend": F.col("sma_7") - F.col("sma_14"),
-        }
+    return (
+        indicators.withColumns({"prev_short": earlier(short), "prev_long": earlier(long)})
+        .withColumns(
+            {
+                "golden_cross_signal": flag((short > long) & (prev_short <= prev_long)),
+                "death_cross_signal": flag((short < long) & (prev_short >= prev_long)),
+                "ma_crossover_distance": short - long,
+                "short_term_trend": F.col("sma_7") - F.col("sma_14"),
+            }
+        )
+        .drop("prev_short", "prev_long")
     )
 
 
@@ -85,11 +107,11 @@ def sector_momentum(bars: DataFrame, broadcast_rows: int = 1_000_000) -> DataFra
     execution splits.
     """
     first_sector = F.first("sector").over(by_symbol()).alias("sector")
-    returns = bars.select(
+    returns = _with_earlier(bars, SECTOR_RETURN_ROWS).select(
         "symbol",
         "price_date",
         first_sector,
-        *[_lag_return(n).alias(f"return_{n}") for n in SECTOR_RETURN_ROWS],
+        *[_change_since(n).alias(f"return_{n}") for n in SECTOR_RETURN_ROWS],
     )
     means = durable(
         returns.groupBy(F.col("sector").alias("of_sector"), F.col("price_date").alias("of_day")).agg(
@@ -119,7 +141,7 @@ def ml_features(indicators: DataFrame, staged: DataFrame | None = None) -> DataF
         base = indicators.withColumn("sector", F.first("sector").over(by_symbol()))
     else:
         base = indicators.drop("sector").join(stable_sector(staged), "symbol", "left")
-    featured = price_position(
-        support_resistance(average_crosses(momentum(lag_returns(base))))
-    )
+    lagged = _with_earlier(base, (*LAG_ROWS, *MOMENTUM_ROWS))
+    moved = lagged.withColumns({**_lag_columns(), **_momentum_columns()})
+    featured = price_position(support_resistance(average_crosses(moved)))
     return featured.select(*FEATURES.fieldNames())

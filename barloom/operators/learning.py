@@ -122,11 +122,9 @@ def walk_forward_folds(rows: int, folds: int = 5) -> list[Fold]:
 def training_frame(mart: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Positioned training rows, stored: every fold and every tree reads them again.
 
-    ``mart`` is read twice and should be a stored table. Rows are kept in position order,
-    so a range of positions opens only its own files and row groups.
+    ``mart`` is read twice and should be a stored table.
     """
-    placed = with_position(complete_rows(mart, threshold))
-    return durable(placed.repartitionByRange("position").sortWithinPartitions("position"))
+    return durable(with_position(complete_rows(mart, threshold)))
 
 
 def classification_metrics(predicted: DataFrame, *groups: str) -> DataFrame:

@@ -32,9 +32,11 @@ class MartSettings:
 
 
 def targets(bars: DataFrame) -> DataFrame:
-    return bars.withColumns(
-        {name: percent_change(later(close(), n), close()) for name, n in TARGET_ROWS.items()}
-    )
+    ahead = {f"close_in_{n}": later(close(), n) for n in TARGET_ROWS.values()}
+    returns = {
+        name: percent_change(F.col(f"close_in_{n}"), close()) for name, n in TARGET_ROWS.items()
+    }
+    return bars.withColumns(ahead).withColumns(returns).drop(*ahead)
 
 
 def split_label(settings: MartSettings) -> Column:

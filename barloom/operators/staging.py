@@ -60,6 +60,6 @@ def stage_prices(
         raise ValueError(f"late must be 'drop' or 'merge', not {late!r}")
     records = standardise(raw)
     if late == "drop" and watermark is not None:
-        start = datetime.datetime.combine(watermark + datetime.timedelta(days=1), datetime.time())
-        records = standardise(raw.filter(F.col("date") >= F.lit(start).cast("timestamp_ntz")))
+        next_day = F.lit(watermark + datetime.timedelta(days=1)).cast("timestamp_ntz")
+        records = standardise(raw.filter(F.col("date") >= next_day))
     return latest_extraction(records).select(*STAGED.fieldNames())

@@ -732,6 +732,7 @@ def incremental_runs() -> dict[str, str]:
             f"SELECT {features} FROM near_features WHERE price_date > {last}",
         ),
         "mart_incremental": query(MART, f"SELECT {labelled} FROM mart"),
+        "warehouse_refresh": query(MART, f"SELECT {labelled} FROM mart"),
         "mart_incremental_calendar": query(
             [
                 *FEATURES,

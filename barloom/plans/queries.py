@@ -23,6 +23,7 @@ from barloom.operators import (
     staging,
 )
 from barloom.plans import settings
+from barloom.plans.refresh import Warehouse
 from barloom.scratch import durable, fresh_path
 from barloom.sources import prices
 from barloom.sources.star_bars import event_ticks, raw_prices, star_bars, symbol_of, table
@@ -384,6 +385,15 @@ def incremental_runs() -> dict[str, Query]:
         table.upsert(incremental.incremental_mart(full, until, settings.MART))
         return rounded(table.read(spark))
 
+    def warehouse_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = durable(raw_prices(spark, sf_dir).filter(F.col("date").isNotNull()))
+        house = Warehouse(fresh_path(spark, "warehouse"), "year", settings.MART)
+        house.full_refresh(raw.filter(F.col("date") < F.lit(settings.CUT).cast("timestamp_ntz")))
+        start = prices.fetch_start(settings.CUT, settings.AS_OF)
+        later = prices.fetch(raw, start, settings.AS_OF + datetime.timedelta(days=1))
+        house.incremental_refresh(spark, later)
+        return rounded(house.mart.read(spark))
+
     def mart_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
         full = durable(feature_table(spark, sf_dir))
         stored = durable(mart.training_mart(up_to_cut(full), settings.MART))
@@ -398,6 +408,7 @@ def incremental_runs() -> dict[str, Query]:
         "features_incremental_calendar": features_calendar,
         "mart_incremental": mart_rows,
         "mart_incremental_calendar": mart_calendar,
+        "warehouse_refresh": warehouse_refresh,
     }
 
 

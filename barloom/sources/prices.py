@@ -46,7 +46,7 @@ def read_delivered(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def _midnight(day: datetime.date) -> Column:
-    return F.lit(datetime.datetime.combine(day, datetime.time())).cast("timestamp_ntz")
+    return F.lit(day).cast("timestamp_ntz")
 
 
 def price_scan(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.staging import latest_extraction, stage_prices, standardise
+from barloom.operators.staging import stage_prices, standardise
+from barloom.plans.refresh import newest_staged
 from barloom.schemas import RAW
 from barloom.sources.tables import KeyedTable
 
@@ -20,10 +21,6 @@ def price_stream(spark: SparkSession, landing: str, files_per_trigger: int = 100
     )
 
 
-def _newest(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    return latest_extraction(stored.unionByName(incoming))
-
-
 def ingest_available(stream: DataFrame, table: KeyedTable, checkpoint: str) -> None:
     """Merge everything that has landed since the last run into the staged table.
 
@@ -33,7 +30,7 @@ def ingest_available(stream: DataFrame, table: KeyedTable, checkpoint: str) -> N
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        table.upsert(stage_prices(batch), merge=_newest)
+        table.upsert(stage_prices(batch), merge=newest_staged)
 
     query = (
         stream.writeStream.foreachBatch(merge)
