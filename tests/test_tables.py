@@ -136,6 +136,22 @@ def test_daily_increments_end_like_one_full_run(spark):
     assert same(digits(stored), digits(mart.training_mart(full)))
 
 
+def test_only_real_corrections_count_as_changes(spark):
+    stored = micro.bars(spark, micro.series("A", [1, 2, 3]), micro.series("B", [1, 2, 3]))
+    again = stored.withColumn("extraction_timestamp", F.lit("newer"))
+    assert incremental.changed_rows(again, stored).isEmpty()
+    fixed = again.withColumn(
+        "close_price",
+        F.when(
+            (F.col("symbol") == "B") & (F.col("price_date") == F.lit(micro.day(1))), 9.0
+        ).otherwise(F.col("close_price")),
+    ).withColumn("sector", F.when(F.col("symbol") == "B", F.col("sector")))
+    stored = stored.withColumn("sector", F.when(F.col("symbol") == "B", F.col("sector")))
+    changed = incremental.changed_rows(fixed, stored).collect()
+    assert [(r["symbol"], r["price_date"]) for r in changed] == [("B", micro.day(1))]
+    assert incremental.changed_rows(fixed, stored.limit(0)).count() == 6
+
+
 @pytest.mark.parametrize("late", ["drop", "merge"])
 def test_warehouse_increments_equal_a_full_refresh(spark, tmp_path, late):
     raw = durable(raw_prices(spark, SF).filter(F.col("date").isNotNull()))
