@@ -99,7 +99,8 @@ def bollinger(bars: DataFrame) -> DataFrame:
 
 
 def average_true_range(bars: DataFrame, rows: int = ATR_ROWS) -> DataFrame:
-    return bars.withColumn("true_range", true_range(F.col("high_price"), F.col("low_price"), earlier(close()))).withColumn(
+    spread = true_range(F.col("high_price"), F.col("low_price"), earlier(close()))
+    return bars.withColumn("true_range", spread).withColumn(
         f"atr_{rows}", rolling(F.avg, "true_range", rows)
     )
 

@@ -34,7 +34,8 @@ if __name__ == "__main__":
             problem, n = None, queries[name](spark, sf_dir).count()
         bad += problem is not None
         kind = "ok" if name in oracles else "rows"
-        print(f"{name:32s} {kind if not problem else 'BAD':5s} {n:8d} rows {time.time() - start:6.1f}s", flush=True)
+        state = "BAD" if problem else kind
+        print(f"{name:32s} {state:5s} {n:8d} rows {time.time() - start:6.1f}s", flush=True)
         if problem:
             print("  ", problem, flush=True)
     print("orphans", set(oracles) - set(queries), "bad", bad)

@@ -15,8 +15,8 @@ def day(n):
 
 def series(symbol, closes, spread=0.0, sector="gold", volume=100):
     return [
-        (symbol, day(i), sector, float(c), float(c + spread), float(c - spread), float(c), volume, 2.0 * spread)
-        for i, c in enumerate(closes)
+        (symbol, day(i), sector, c, c + spread, c - spread, c, volume, 2.0 * spread)
+        for i, c in enumerate(float(x) for x in closes)
     ]
 
 
