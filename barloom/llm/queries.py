@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.llm import (
     chat,
     exact_dedup,
+    near_join,
     packing,
     pieces,
     quality_model,
@@ -46,6 +47,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digests(documents(spark, sf_dir), model)
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_components(documents(spark, sf_dir), words=4, percent=85)
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
@@ -75,6 +80,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_url_filters": op2,
         "op3_best_fit_packing": op3,
         "op6_sentencepiece": op6,
+        "op7_ngram_jaccard_join": op7,
         "op8_quality_classifier": op8,
         "op9_chat_formatting": op9,
         "op10_exact_dedup": op10,

@@ -84,6 +84,11 @@ def test_packing(spark, any_dir):
         assert len(ends) <= -(-sum(ends.values()) // 1024) + 2
 
 
+def test_near_join(spark, any_dir):
+    names = ["doc_id", "n_shingles", "component_id"]
+    assert got(spark, "op7", any_dir, names) == Counter(brute.near_components(any_dir))
+
+
 def test_classifier(spark, any_dir):
     rows = got(spark, "op8", any_dir, ["doc_id", "held_out", "score", "predicted"])
     assert Counter(r[0] for r in rows.elements()) == Counter(i for i, _ in brute.docs(any_dir))
