@@ -16,6 +16,7 @@ from barloom.llm import (
     pieces,
     quality_model,
     quality_rules,
+    suffix_dedup,
     url_filters,
 )
 from barloom.llm.common import documents, durable, table
@@ -42,6 +43,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(durable(found))
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(documents(spark, sf_dir))
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.encoding_digests(documents(spark, sf_dir), model)
@@ -79,6 +84,7 @@ def llm_queries() -> dict[str, Query]:
         "op1_quality_rules": op1,
         "op2_url_filters": op2,
         "op3_best_fit_packing": op3,
+        "op5_suffix_array_dedup": op5,
         "op6_sentencepiece": op6,
         "op7_ngram_jaccard_join": op7,
         "op8_quality_classifier": op8,

@@ -84,6 +84,11 @@ def test_packing(spark, any_dir):
         assert len(ends) <= -(-sum(ends.values()) // 1024) + 2
 
 
+def test_suffix_dedup(spark, any_dir):
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert got(spark, "op5", any_dir, names) == Counter(brute.long_repeats(any_dir))
+
+
 def test_near_join(spark, any_dir):
     names = ["doc_id", "n_shingles", "component_id"]
     assert got(spark, "op7", any_dir, names) == Counter(brute.near_components(any_dir))
