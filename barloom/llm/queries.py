@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.llm import (
     chat,
     exact_dedup,
+    line_dedup,
     near_join,
     packing,
     pieces,
@@ -43,6 +44,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(durable(found))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    kept = line_dedup.without_near_lines(docs.withColumn("before", line_dedup.line_count()))
+    return kept.select(
+        "doc_id",
+        F.col("before").alias("n_lines"),
+        (F.col("before") - line_dedup.line_count()).alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(documents(spark, sf_dir))
 
@@ -84,6 +96,7 @@ def llm_queries() -> dict[str, Query]:
         "op1_quality_rules": op1,
         "op2_url_filters": op2,
         "op3_best_fit_packing": op3,
+        "op4_line_dedup": op4,
         "op5_suffix_array_dedup": op5,
         "op6_sentencepiece": op6,
         "op7_ngram_jaccard_join": op7,

@@ -121,7 +121,7 @@ def word_distance(a, b):
 
 def deduplicated_lines(texts, least=5, bound=1):
     """The texts without lines that are close to an earlier line of (doc_id, line) order."""
-    ordered = sorted((i, n, x) for i, t in texts for n, x in enumerate(t.split("\n")))
+    ordered = sorted({(i, n, x) for i, t in texts for n, x in enumerate(t.split("\n"))})
     earlier, dropped = [], set()
     for i, n, x in ordered:
         words = WORD.findall(x)

@@ -84,6 +84,20 @@ def test_packing(spark, any_dir):
         assert len(ends) <= -(-sum(ends.values()) // 1024) + 2
 
 
+def test_line_dedup(spark, any_dir):
+    texts = brute.docs(any_dir)
+    left = brute.deduplicated_lines(texts)
+    names = ["doc_id", "n_lines", "n_dropped", "kept_sha256"]
+    want = Counter(
+        (i, t.count("\n") + 1, lost(t, left[i]), brute.sha(left[i])) for i, t in texts
+    )
+    assert got(spark, "op4", any_dir, names) == want
+
+
+def lost(before, after):
+    return before.count("\n") - after.count("\n")
+
+
 def test_suffix_dedup(spark, any_dir):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert got(spark, "op5", any_dir, names) == Counter(brute.long_repeats(any_dir))
