@@ -8,10 +8,12 @@ distance rejects candidates.
 
 Sets of sizes a and b with 100 |A and B| >= percent |A or B| differ in at most
 k = (a + b)(100 - percent) / (100 + percent) elements. With K = k + 1 + s blocks at least
-s + 1 agree. Each document emits the k + 1 heaviest of its blocks (most shingles, then
-block number): the heaviest agreeing block outweighs s others on both sides, so both emit
-it. K follows from the band of the smaller set; a document also takes part in the band
-below when a partner there is possible.
+s + 1 agree. Each document emits the k + 1 heaviest of its blocks (most shingles that are
+not common, most shingles, block number): the heaviest agreeing block outweighs s others
+on both sides, so both emit it. K follows from the band of the smaller set; a document
+also takes part in the band below when a partner there is possible. Which shingles are
+common is counted over all documents; it only orders blocks, so that texts which share a
+widespread passage do not meet through it.
 
 Equal sets are joined into classes first. Of the classes that share a block, each is
 compared with one hub; classes that are still in different components are compared with
@@ -49,6 +51,9 @@ from barloom.llm.components import components
 
 BAND = 1.3
 SLACK = 1 / 3
+COMMON_SHARE = 1 / 1000
+COMMON_MOST = 1 << 19
+COUNTED_SHINGLES = 1 << 20
 SKETCH_WORDS = 8
 HUB_ROUNDS = 3
 HUB_MEMBERS = 128
@@ -117,8 +122,56 @@ class Bands:
         return emitted, emitted + max(1, int(emitted * SLACK)) if emitted else 0
 
 
-def block_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the heaviest blocks of one set, for each band it takes part in."""
+def _counted(words: int):
+    """Shingles that many documents of a stretch of documents have, with their numbers."""
+
+    def flush(held: list[np.ndarray], docs: int) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        often = counts >= max(3, docs * COMMON_SHARE)
+        return pa.record_batch(
+            [pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["shingle", "n"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, docs = [], 0, 0
+        for part in text_slices(batches):
+            hashes, _ = shingle_sets(part.column("text"), words)
+            held.append(hashes)
+            size, docs = size + len(hashes), docs + part.num_rows
+            if size >= COUNTED_SHINGLES:
+                yield flush(held, docs)
+                held, size, docs = [], 0, 0
+        if held:
+            yield flush(held, docs)
+
+    return run
+
+
+def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
+    """Hashes of shingles in about a thousandth of all documents or more, sorted.
+
+    At most ``COMMON_MOST`` of them, 4 MB: the most frequent, as they only order blocks.
+    """
+    found = docs.select("text").mapInArrow(_counted(words), "shingle long, n long")
+    summed = found.groupBy("shingle").agg(F.sum("n").alias("n"))
+    least = max(3, int(docs.count() * COMMON_SHARE / 2))
+    top = summed.filter(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(COMMON_MOST)
+    rows = top.select("shingle").toPandas()["shingle"].to_numpy(np.int64)
+    return np.sort(rows.view(np.uint64))
+
+
+def among(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
+    if not len(sorted_set):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(sorted_set, values), len(sorted_set) - 1)
+    return sorted_set[at] == values
+
+
+def block_keys(hashes: np.ndarray, common: np.ndarray, bands: Bands) -> np.ndarray:
+    """Keys of the heaviest blocks of one set, for each band it takes part in.
+
+    ``common`` marks the shingles that are widespread.
+    """
     keys = []
     for band in bands.of(len(hashes)):
         emitted, total = bands.blocks(band)
@@ -130,7 +183,8 @@ def block_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
         value = np.zeros(total, np.uint64)
         value[block[order][at]] = np.bitwise_xor.reduceat(mix(hashes[order]), at)
         weight = np.bincount(block, minlength=total)
-        heavy = np.lexsort((np.arange(total), -weight))[:emitted]
+        rare = np.bincount(block[~common], minlength=total)
+        heavy = np.lexsort((np.arange(total), -weight, -rare))[:emitted]
         place = mix(heavy.astype(np.uint64) * np.uint64(4096) + np.uint64(band))
         keys.append(mix(value[heavy] ^ place))
     return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
@@ -145,6 +199,8 @@ def parity_sketch(hashes: np.ndarray) -> np.ndarray:
 def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, size and fingerprints of the set, narrow sketch and block keys."""
 
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for part in text_slices(batches):
@@ -152,7 +208,11 @@ def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
             sets = [hashes[a:b] for a, b in pairwise(edges)]
             sums = [(np.sum(mix(s ^ np.uint64(1))), np.sum(mix(s ^ np.uint64(2)))) for s in sets]
             marks = np.array([parity_sketch(s) for s in sets]).reshape(len(sets), -1)
-            keys = [block_keys(s, bands).view(np.int64) for s in sets]
+            common = among(hashes, shared.value)
+            keys = [
+                block_keys(s, common[a:b], bands).view(np.int64)
+                for s, (a, b) in zip(sets, pairwise(edges), strict=True)
+            ]
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate([*keys, np.zeros(0, np.int64)])
             yield pa.record_batch(
@@ -276,19 +336,20 @@ def _linked(blocks, sizes, docs, words, percent):
     links = tried = labels = None
     open_blocks = blocks.select("key", "c", F.col("c").alias("comp"))
     for number in range(HUB_ROUNDS + 1):
-        pairs = None
+        whole = False
         if number:
-            open_blocks = durable(_still_open(blocks, labels))
-            if number == HUB_ROUNDS or _few_pairs(open_blocks):
-                pairs = _between_components(open_blocks)
-        if pairs is None:
-            pairs = _with_hubs(open_blocks, number)
+            if labels is not None:
+                open_blocks = durable(_still_open(blocks, labels))
+            whole = number == HUB_ROUNDS or _few_pairs(open_blocks)
+        pairs = _between_components(open_blocks) if whole else _with_hubs(open_blocks, number)
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         candidates = durable(_filtered(pairs, sizes, percent))
         if candidates.isEmpty():
-            break
+            if whole:
+                break
+            continue
         found = durable(verified(candidates, docs, words, percent))
         new = found.filter("linked").select("a", "b")
         links = new if links is None else links.unionByName(new)
@@ -296,6 +357,8 @@ def _linked(blocks, sizes, docs, words, percent):
         pairs = pairs.unionByName(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
         tried = pairs if tried is None else tried.unionByName(pairs)
         labels = components(links)
+        if whole:
+            break
     return links, labels
 
 
