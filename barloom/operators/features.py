@@ -97,14 +97,13 @@ def stable_sector(staged: DataFrame) -> DataFrame:
     return staged.groupBy("symbol").agg(F.min_by("sector", "price_date").alias("sector"))
 
 
-def sector_momentum(bars: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+def sector_momentum(bars: DataFrame) -> DataFrame:
     """Mean 1/3/7-row return of a sector on a day, attached to each of its symbols.
 
     ``bars`` needs symbol, sector, price_date and close_price. A window over (sector, day)
     would put a sector with a third of all symbols into single tasks, so the means are
-    partially aggregated, stored once and joined back: by broadcast if there are at
-    most ``broadcast_rows`` of them, else by a shuffle whose large sectors adaptive
-    execution splits.
+    partially aggregated, stored once and joined back. Spark broadcasts them while they
+    are small and otherwise shuffles; adaptive execution splits large sectors.
     """
     first_sector = F.first("sector").over(by_symbol()).alias("sector")
     returns = _with_earlier(bars, SECTOR_RETURN_ROWS).select(
@@ -118,8 +117,6 @@ def sector_momentum(bars: DataFrame, broadcast_rows: int = 1_000_000) -> DataFra
             *[F.avg(f"return_{n}").alias(f"sector_{n}_day_return") for n in SECTOR_RETURN_ROWS]
         )
     )
-    if means.count() <= broadcast_rows:
-        means = F.broadcast(means)
     members = bars.select("symbol", "price_date", first_sector)
     same = F.col("sector").eqNullSafe(F.col("of_sector")) & (F.col("price_date") == F.col("of_day"))
     return members.join(means, same).select(

@@ -633,6 +633,9 @@ def ingest() -> dict[str, str]:
             " QUALIFY row_number() OVER (PARTITION BY date, symbol"
             " ORDER BY extraction_timestamp DESC) = 1",
         ),
+        "merge_undated": query(
+            raw, f"SELECT DISTINCT {out(RAW_COLUMNS)} FROM raw WHERE date IS NULL"
+        ),
         "upsert_by_key": query(
             STAGING,
             "SELECT * REPLACE (CAST(CASE WHEN year(price_date) >= 2000 THEN volume * 2"
@@ -733,6 +736,7 @@ def incremental_runs() -> dict[str, str]:
         ),
         "mart_incremental": query(MART, f"SELECT {labelled} FROM mart"),
         "warehouse_refresh": query(MART, f"SELECT {labelled} FROM mart"),
+        "warehouse_recovery": query(MART, f"SELECT {labelled} FROM mart"),
         "mart_incremental_calendar": query(
             [
                 *FEATURES,

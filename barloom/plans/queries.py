@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -246,12 +247,21 @@ def ingest() -> dict[str, Query]:
     def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = keyed(spark, "raw", schemas.RAW, "date")
         source = raw_prices(spark, sf_dir)
-        first = datetime.date(1990, 1, 1)
-        raw.upsert(prices.fetch(source, first, settings.CUT), prices.latest_record)
+        earlier = F.col("date") < F.lit(settings.CUT).cast("timestamp_ntz")
+        raw.upsert(source.filter(earlier), prices.latest_record)
         start = prices.fetch_start(settings.CUT, settings.AS_OF)
         raw.upsert(prices.fetch(source, start, settings.AS_OF), prices.latest_record)
         return raw.read(spark)
 
+    def merge_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = keyed(spark, "raw", schemas.RAW, "date")
+        undated = raw_prices(spark, sf_dir).filter(F.col("date").isNull())
+        half = F.upper("sector") == "ASIA"
+        raw.upsert(undated.filter(half), prices.latest_record)
+        raw.upsert(undated.filter(~half), prices.latest_record)
+        raw.upsert(undated.filter(~half), prices.latest_record)
+        return raw.read(spark)
+
     def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         staged = staged_prices(spark, sf_dir)
         table = keyed(spark, "staged", schemas.STAGED)
@@ -320,6 +330,7 @@ def ingest() -> dict[str, Query]:
         "full_refresh": full_refresh,
         "incremental_window": incremental_window,
         "merge_upsert": merge_upsert,
+        "merge_undated": merge_undated,
         "upsert_by_key": upsert_by_key,
         "sector_dim": sector_dim,
         "sector_tag": sector_tag,
@@ -338,6 +349,27 @@ def ingest() -> dict[str, Query]:
     }
 
 
+class StoppedRun(Exception):
+    """A refresh that was made to stop before it wrote a table."""
+
+
+@contextmanager
+def failing_at(path: str) -> Iterator[None]:
+    """Upserts into the table at ``path`` raise, as when a run dies there."""
+    upsert = KeyedTable.upsert
+
+    def stops(table: KeyedTable, *args, **kwargs) -> None:
+        if table.path == path:
+            raise StoppedRun(path)
+        upsert(table, *args, **kwargs)
+
+    KeyedTable.upsert = stops
+    try:
+        yield
+    finally:
+        KeyedTable.upsert = upsert
+
+
 def incremental_runs() -> dict[str, Query]:
     def up_to_cut(df: DataFrame) -> DataFrame:
         return df.filter(F.col("price_date") <= F.lit(settings.CUT))
@@ -386,7 +418,7 @@ def incremental_runs() -> dict[str, Query]:
         return rounded(table.read(spark))
 
     def warehouse_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = durable(raw_prices(spark, sf_dir).filter(F.col("date").isNotNull()))
+        raw = durable(raw_prices(spark, sf_dir))
         house = Warehouse(fresh_path(spark, "warehouse"), "year", settings.MART)
         house.full_refresh(raw.filter(F.col("date") < F.lit(settings.CUT).cast("timestamp_ntz")))
         start = prices.fetch_start(settings.CUT, settings.AS_OF)
@@ -394,6 +426,22 @@ def incremental_runs() -> dict[str, Query]:
         house.incremental_refresh(spark, later)
         return rounded(house.mart.read(spark))
 
+    def warehouse_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Increments of which every one but the last dies before one of the tables."""
+        raw = durable(raw_prices(spark, sf_dir))
+        house = Warehouse(fresh_path(spark, "warehouse"), "year", settings.MART)
+        cut = F.lit(settings.CUT).cast("timestamp_ntz")
+        house.full_refresh(raw.filter(F.col("date") < cut))
+        later = raw.filter(F.col("date") >= cut)
+        for table in ("indicators", "mart"):
+            with failing_at(getattr(house, table).path):
+                try:
+                    house.incremental_refresh(spark, later)
+                except StoppedRun:
+                    continue
+        house.incremental_refresh(spark, later)
+        return rounded(house.mart.read(spark))
+
     def mart_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
         full = durable(feature_table(spark, sf_dir))
         stored = durable(mart.training_mart(up_to_cut(full), settings.MART))
@@ -409,12 +457,11 @@ def incremental_runs() -> dict[str, Query]:
         "mart_incremental": mart_rows,
         "mart_incremental_calendar": mart_calendar,
         "warehouse_refresh": warehouse_refresh,
+        "warehouse_recovery": warehouse_recovery,
     }
 
 
 def checks_and_models() -> dict[str, Query]:
-    forest = {"numTrees": 10, "maxDepth": 5}
-    boosted = {"maxIter": 5, "maxDepth": 4}
     upper = ["AFRICA", "AMERICA", "ASIA"]
     lower = [s.lower() for s in upper]
 
@@ -485,13 +532,11 @@ def checks_and_models() -> dict[str, Query]:
 
     def forest_model(spark: SparkSession, sf_dir: str) -> tuple[learning.Trained, DataFrame]:
         data = stored_mart(spark, sf_dir)
-        return learning.train_model(data, **forest), data
+        return learning.train_model(data), data
 
-    def trained_row(model_type: str, params: dict) -> Query:
+    def trained_row(model_type: str) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            done = learning.train_model(
-                stored_mart(spark, sf_dir), model_type=model_type, **params
-            )
+            done = learning.train_model(stored_mart(spark, sf_dir), model_type=model_type)
             row = (done.model_type, len(done.features), *done.metrics.values())
             return spark.createDataFrame(
                 [row],
@@ -531,13 +576,13 @@ def checks_and_models() -> dict[str, Query]:
         "holdout_split": holdout_split,
         "cv_folds": cv_folds,
         "classification_metrics": rule_metrics,
-        "rf_train": trained_row("random_forest", forest),
-        "gbt_train": trained_row("gradient_boosting", boosted),
+        "rf_train": trained_row("random_forest"),
+        "gbt_train": trained_row("gradient_boosting"),
         "feature_importance": importance,
         "predictions": predictions,
         "last_predictions": lambda s, d: learning.last_predictions(predictions(s, d)),
         "model_registry": registry,
-        "cv_metrics": lambda s, d: learning.cross_validate(stored_mart(s, d), **forest),
+        "cv_metrics": lambda s, d: learning.cross_validate(stored_mart(s, d)),
         "forecast": price_forecast,
         "forecast_metrics": price_forecast_metrics,
     }

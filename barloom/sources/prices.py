@@ -91,10 +91,15 @@ def full_history(source: DataFrame, now: datetime.date, years: int = FULL_YEARS)
 
 
 def latest_record(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Merge rule of the raw table: the latest extraction per (date, symbol) wins."""
+    """Merge rule of the raw table: the latest extraction per (date, symbol) wins.
+
+    A record without date has no key to be replaced by: its key is the whole record, so
+    only equal ones are merged.
+    """
     union = stored.unionByName(incoming)
     rest = [c for c in union.columns if c not in ("date", "symbol", "extraction_timestamp")]
-    best = union.groupBy("date", "symbol").agg(
+    undated = F.when(F.col("date").isNull(), F.struct("extraction_timestamp", *rest))
+    best = union.groupBy("date", "symbol", undated.alias("undated")).agg(
         F.max(F.struct("extraction_timestamp", *rest)).alias("best")
     )
     return best.select("date", "symbol", "best.*").select(*union.columns)

@@ -47,16 +47,34 @@ class KeyedTable:
         day = F.to_date(day)
         return day if self.grain == "day" else F.trunc(day, self.grain)
 
-    def read(self, spark: SparkSession, since: datetime.date | None = None) -> DataFrame:
-        """Rows of the table, from ``since`` on if given; older partitions are not opened."""
+    def read(
+        self,
+        spark: SparkSession,
+        since: datetime.date | None = None,
+        before: datetime.date | None = None,
+    ) -> DataFrame:
+        """Rows of the table, of since <= date < before; other partitions are not opened."""
         rows = self._stored(spark)
         if since is not None:
             rows = rows.filter(
                 (F.col("bucket") >= self.bucket(F.lit(since)))
                 & (F.col(self.date_column) >= F.lit(since))
             )
+        if before is not None:
+            rows = rows.filter(
+                (F.col("bucket") <= self.bucket(F.lit(before)))
+                & (F.col(self.date_column) < F.lit(before))
+            )
         return rows.drop("bucket")
 
+    def newest(self, spark: SparkSession) -> datetime.date | None:
+        """Newest date of the table; only its newest partition is opened for it."""
+        rows = self._stored(spark)
+        bucket = rows.agg(F.max("bucket")).first()[0]
+        if bucket is None:
+            return None
+        return watermark(rows.filter(F.col("bucket") == F.lit(bucket)), self.date_column)
+
     def replace(self, df: DataFrame) -> None:
         """Full refresh."""
         self._write(conform(df, self.schema), "static")
@@ -78,7 +96,11 @@ class KeyedTable:
         touched = [r.bucket for r in incoming.select("bucket").distinct().collect()]
         if not touched:
             return
-        stored = self._stored(df.sparkSession).filter(F.col("bucket").isin(touched))
+        dated = [day for day in touched if day is not None]
+        here = F.col("bucket").isin(dated)
+        if None in touched:
+            here = here | F.col("bucket").isNull()
+        stored = self._stored(df.sparkSession).filter(here)
         merged = merge(stored.drop("bucket"), incoming.drop("bucket"))
         self._write(merged, "dynamic")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import features, indicators, mart
 from barloom.schemas import FEATURES, INDICATORS, MART
+from barloom.scratch import durable
 from barloom.sources.star_bars import star_bars
 
 
@@ -72,12 +73,18 @@ def test_sector_is_the_first_one(spark):
 def test_sector_means_do_not_depend_on_the_join(spark):
     table = star_bars(spark, "/root/testdata/sf0.001")
     small = features.sector_momentum(table)
-    large = features.sector_momentum(table, broadcast_rows=0)
+    large = features.sector_momentum(table)
     digits = [F.round(c, 6).alias(c) for c in small.columns if c.endswith("return")]
     key = ["symbol", "price_date", "sector"]
-    a, b = small.select(*key, *digits), large.select(*key, *digits)
+    a = durable(small.select(*key, *digits))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = durable(large.select(*key, *digits))
+        plan = large._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-    plan = large._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in plan
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from barloom.operators import incremental, indicators, mart, staging
 from barloom.operators.features import ml_features
 from barloom.operators.mart import MartSettings
+from barloom.plans.queries import StoppedRun, failing_at
 from barloom.plans.refresh import Warehouse
 from barloom.schemas import RAW, STAGED, SchemaDrift
 from barloom.scratch import durable
@@ -154,19 +155,19 @@ def test_only_real_corrections_count_as_changes(spark):
 
 @pytest.mark.parametrize("late", ["drop", "merge"])
 def test_warehouse_increments_equal_a_full_refresh(spark, tmp_path, late):
-    raw = durable(raw_prices(spark, SF).filter(F.col("date").isNotNull()))
+    raw = durable(raw_prices(spark, SF))
     cuts = [datetime.date(2000, 7, 1), datetime.date(2000, 8, 15)]
     day = F.to_date("date")
     # europe's records of June arrive after the first run
     june = (F.upper("sector") == "EUROPE") & (day.between("2000-06-01", "2000-06-30"))
-    first = raw.filter((day < F.lit(cuts[0])) & ~june)
+    first = raw.filter((day < F.lit(cuts[0])) & ~june | day.isNull())
     second = raw.filter((day >= F.lit(cuts[0])) & (day < F.lit(cuts[1])) | june)
     third = raw.filter(day >= F.lit(cuts[1]))
     house = Warehouse(str(tmp_path / "inc"), "year", MartSettings())
     house.full_refresh(first)
     for records in (second, third, third):
         house.incremental_refresh(spark, records, late)
-    known = raw if late == "merge" else raw.filter(~june)
+    known = raw if late == "merge" else raw.filter(~F.coalesce(june, F.lit(False)))
     full = Warehouse(str(tmp_path / "full"), "year", MartSettings())
     full.full_refresh(known)
     for name in ("staged", "indicators", "features", "mart"):
@@ -222,3 +223,38 @@ def test_first_seen_drops_rows_behind_the_watermark(spark, tmp_path):
     got = sorted(r["price_date"] for r in spark.read.parquet(out).collect())
     # day 2 and day 3 come after the watermark has passed them
     assert got == [micro.day(d) for d in (10, 11, 12, 20, 21)]
+
+
+@pytest.mark.parametrize(
+    ("late", "table"),
+    [("merge", "staged"), ("merge", "indicators"), ("drop", "features"), ("merge", "mart")],
+)
+def test_a_run_after_a_failed_one_completes_every_table(spark, tmp_path, late, table):
+    raw = durable(raw_prices(spark, SF).filter(F.upper("sector") == "ASIA"))
+    cut = F.lit(datetime.date(2000, 7, 1)).cast("timestamp_ntz")
+    fixed = raw.filter("date = timestamp_ntz'2000-03-15'").limit(1)
+    fixed = fixed.withColumn("close_price", F.col("close_price") + 1)
+    fixed = durable(fixed.withColumn("extraction_timestamp", F.lit("2003")))
+    later = durable(raw.filter(F.col("date") >= cut).unionByName(fixed))
+    house = Warehouse(str(tmp_path / "inc"), "year", MartSettings())
+    house.full_refresh(raw.filter(F.col("date") < cut))
+    with pytest.raises(StoppedRun), failing_at(getattr(house, table).path):
+        house.incremental_refresh(spark, later, late)
+    house.incremental_refresh(spark, later, late)
+    full = Warehouse(str(tmp_path / "full"), "year", MartSettings())
+    known = raw.filter(F.col("date").isNotNull())
+    full.full_refresh(known.unionByName(fixed) if late == "merge" else known)
+    for name in ("staged", "indicators", "features", "mart"):
+        got, want = getattr(house, name).read(spark), getattr(full, name).read(spark)
+        assert same(digits(got, 6), digits(want, 6)), name
+
+
+def test_an_increment_without_staged_rows_keeps_the_stored_raw_records(spark, tmp_path):
+    raw = durable(raw_prices(spark, SF).filter(F.upper("sector") == "ASIA"))
+    house = Warehouse(str(tmp_path / "w"), "year", MartSettings())
+    early = F.col("date") < F.lit(W).cast("timestamp_ntz")
+    house.raw.replace(raw.filter(early))
+    house.incremental_refresh(spark, raw.filter(F.col("date") >= F.lit(W).cast("timestamp_ntz")))
+    keys = raw.filter(F.col("date").isNotNull()).select("date", "symbol").distinct()
+    assert house.raw.read(spark).select("date", "symbol").distinct().count() == keys.count()
+    assert house.mart.newest(spark) is not None
