@@ -17,8 +17,10 @@ widespread passage do not meet through it.
 
 Equal sets are joined into classes first. Of the classes that share a block, each is
 compared with one hub; classes that are still in different components are compared with
-other hubs, and once few pairs between components remain, with each other. No link is lost
-and a group of copies never becomes all its pairs. Links are verified on the whole texts.
+other hubs, and once the pairs between components number at most ``FEW_PAIRS`` for each
+row, with each other. That last join carries sizes and narrow sketches, so that it only
+puts out pairs which both allow. No link is lost and a group of copies never becomes all
+its pairs. Links are verified on the whole texts.
 
 Defined results: A-Z count as a-z. A null text or one without words has an empty set, no
 links, and is its own component. Fewer words than a shingle are one shingle. Rows with one
@@ -57,6 +59,7 @@ COUNTED_SHINGLES = 1 << 20
 SKETCH_WORDS = 8
 HUB_ROUNDS = 3
 HUB_MEMBERS = 128
+FEW_PAIRS = 64
 SKETCH_NAMES = [f"s{i}" for i in range(SKETCH_WORDS)]
 SKETCHED = (
     "doc_id long, n long, f1 long, f2 long, "
@@ -341,11 +344,14 @@ def _linked(blocks, sizes, docs, words, percent):
             if labels is not None:
                 open_blocks = durable(_still_open(blocks, labels))
             whole = number == HUB_ROUNDS or _few_pairs(open_blocks)
-        pairs = _between_components(open_blocks) if whole else _with_hubs(open_blocks, number)
+        if whole:
+            pairs = _between_components(open_blocks, sizes, percent)
+        else:
+            pairs = _with_hubs(open_blocks, number)
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        candidates = durable(_filtered(pairs, sizes, percent))
+        candidates = durable(pairs if whole else _filtered(pairs, sizes, percent))
         if candidates.isEmpty():
             if whole:
                 break
@@ -384,7 +390,7 @@ def _still_open(blocks: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _few_pairs(open_blocks: DataFrame) -> bool:
-    """Whether the pairs between components are no more than a few for each row."""
+    """Whether comparing all pairs between components is in proportion to the rows."""
     per = open_blocks.groupBy("key", "comp").agg(F.count(F.lit(1)).cast("double").alias("n"))
     of_key = per.groupBy("key").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")
@@ -392,11 +398,13 @@ def _few_pairs(open_blocks: DataFrame) -> bool:
     row = of_key.agg(
         F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)
     ).first()
-    return row[0] is None or row[1] <= 4 * row[0]
+    return row[0] is None or row[1] <= FEW_PAIRS * row[0]
 
 
-def _between_components(open_blocks: DataFrame) -> DataFrame:
-    a, b = open_blocks.alias("x"), open_blocks.alias("y")
-    return a.join(b, F.col("x.key") == F.col("y.key")).filter(
-        F.col("x.comp") < F.col("y.comp")
-    ).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
+def _between_components(open_blocks: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    marked = durable(open_blocks.join(sizes.withColumnRenamed("doc_id", "c"), "c"))
+    a, b = marked.alias("a"), marked.alias("b")
+    both = (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") < F.col("b.comp"))
+    return a.join(b, both & _possible(percent)).select(
+        F.col("a.c").alias("a"), F.col("b.c").alias("b")
+    )
