@@ -30,6 +30,7 @@ FAST, SLOW, SIGNAL = 12, 26, 9
 BAND_ROWS, BAND_WIDTH = 20, 2
 ATR_ROWS = 14
 RANGE_ROWS = 30
+REPORT_ROWS = 50
 MIN_FLAG_ROWS = 30
 SLOPE_ROWS = 20
 FIBONACCI = {
@@ -337,8 +338,11 @@ def _level(state: DataFrame, fraction: float) -> Column:
 
 
 def fibonacci_levels(bars: DataFrame) -> DataFrame:
-    """symbol, level, price: retracement of the last 30 bars' range, seven rows a symbol."""
-    s = latest_state(bars)
+    """symbol, level, price: retracement of the last 30 bars' range, seven rows a symbol.
+
+    No more than the newest ``REPORT_ROWS`` bars of a symbol are shuffled and grouped.
+    """
+    s = latest_state(newest_rows(bars, REPORT_ROWS))
     rows = [
         F.struct(
             F.lit(name).alias("level"),
@@ -350,8 +354,11 @@ def fibonacci_levels(bars: DataFrame) -> DataFrame:
 
 
 def target_prices(bars: DataFrame) -> DataFrame:
-    """Retracement, range, average and volatility targets of the newest bar."""
-    s = latest_state(bars)
+    """Retracement, range, average and volatility targets of the newest bar.
+
+    The longest average needs ``REPORT_ROWS`` bars; older ones are cut before the shuffle.
+    """
+    s = latest_state(newest_rows(bars, REPORT_ROWS))
     ranged = s.n_bars >= RANGE_ROWS
     return s.select(
         "symbol",

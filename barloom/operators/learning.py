@@ -36,6 +36,7 @@ FEATURES = [
 THRESHOLD = 1.0
 MIN_RAW_ROWS, MIN_VALID_ROWS = 100, 50
 MIN_TRAIN_ROWS, MIN_TEST_ROWS = 50, 10
+TRAINING_DAYS = 1095
 HOLDOUT_TENTHS = 2
 FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 5, "seed": 42}
 BOOSTED = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "seed": 42}
@@ -51,13 +52,25 @@ def buy_label(threshold: float = THRESHOLD) -> Column:
     return F.coalesce((F.col("next_day_return") > threshold).cast("int"), F.lit(0))
 
 
-def complete_rows(mart: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Key, close, target, features and label of the rows whose features are all known."""
+def training_window(mart: DataFrame, as_of: datetime.date | None, days: int) -> DataFrame:
+    """The last ``days`` days before ``as_of``, or all rows without one."""
+    if as_of is None:
+        return mart
+    return mart.filter(F.col("price_date") >= F.lit(as_of - datetime.timedelta(days=days)))
+
+
+def complete_rows(
+    mart: DataFrame, threshold: float = THRESHOLD, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Key, close, target, features and label of the rows whose features are all known.
+
+    ``keep`` names further columns of the mart to carry along.
+    """
     names = select_features(mart)
     return (
         mart.dropna(subset=names)
         .withColumn("label", buy_label(threshold))
-        .select("symbol", "price_date", "close_price", "next_day_return", *names, "label")
+        .select("symbol", "price_date", "close_price", "next_day_return", *names, "label", *keep)
     )
 
 
@@ -119,6 +132,16 @@ def walk_forward_folds(rows: int, folds: int = 5) -> list[Fold]:
     return [f for f in found if f.test_end <= rows and not f.skipped]
 
 
+def date_holdout(mart: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Complete rows with ``role``: the mart's train days, or test for its test days.
+
+    The hold-out by position keeps back the last symbols; this one keeps back the newest
+    days of all symbols. Validation days take no part.
+    """
+    rows = complete_rows(mart, threshold, keep=["split"])
+    return rows.filter(F.col("split").isin("train", "test")).withColumnRenamed("split", "role")
+
+
 def training_frame(mart: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Positioned training rows, stored: every fold and every tree reads them again.
 
@@ -192,19 +215,28 @@ def train_model(
     symbol: str | None = None,
     model_type: str = "random_forest",
     threshold: float = THRESHOLD,
+    by_date: bool = False,
+    as_of: datetime.date | None = None,
+    days: int = TRAINING_DAYS,
     **params,
 ) -> Trained:
-    """Fit on the first 80 % of the ordered rows, report metrics on the rest."""
-    rows = mart if symbol is None else mart.filter(F.col("symbol") == symbol)
+    """Fit on the first 80 % of the ordered rows, report metrics on the rest.
+
+    ``by_date`` fits on the mart's train days and reports on its test days instead. With
+    ``as_of`` only the ``days`` days before it take part.
+    """
+    rows = training_window(mart, as_of, days)
+    if symbol is not None:
+        rows = rows.filter(F.col("symbol") == symbol)
     if rows.limit(MIN_RAW_ROWS).count() < MIN_RAW_ROWS:
         raise ValueError(f"not enough training data, need {MIN_RAW_ROWS} rows")
-    frame = training_frame(rows, threshold)
+    frame = durable(date_holdout(rows, threshold)) if by_date else training_frame(rows, threshold)
     n = frame.count()
     if n < MIN_VALID_ROWS:
         raise ValueError(f"not enough complete rows, need {MIN_VALID_ROWS}")
-    cut = holdout_start(n)
-    model = fit(frame.filter(F.col("position") < cut), model_type, **params)
-    held_out = predict(model, frame.filter(F.col("position") >= cut))
+    fitted = F.col("role") == "train" if by_date else F.col("position") < holdout_start(n)
+    model = fit(frame.filter(fitted), model_type, **params)
+    held_out = predict(model, frame.filter(~fitted))
     return Trained(
         model,
         classification_metrics(held_out).first().asDict(),
@@ -250,14 +282,17 @@ def cross_validate(
     model_type: str = "random_forest",
     folds: int = 5,
     inner_holdout_tenths: int = HOLDOUT_TENTHS,
+    as_of: datetime.date | None = None,
+    days: int = TRAINING_DAYS,
     **params,
 ) -> DataFrame:
     """Metrics per walk-forward fold.
 
     Each model is fitted on the first part of its training range only, since the
-    trainer keeps its own hold-out; pass 0 to train on the whole range.
+    trainer keeps its own hold-out; pass 0 to train on the whole range. With ``as_of``
+    only the ``days`` days before it take part.
     """
-    frame = training_frame(mart)
+    frame = training_frame(training_window(mart, as_of, days))
     scored = None
     for f in walk_forward_folds(frame.count(), folds):
         cut = holdout_start(f.train_end, inner_holdout_tenths)

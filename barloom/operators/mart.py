@@ -49,10 +49,13 @@ def split_label(settings: MartSettings) -> Column:
 
 
 def fold_number(settings: MartSettings) -> Column:
-    """1 … k for the listed years, 0 before them; the last fold is open-ended."""
+    """Number of listed years begun: 0 before them, 1 … k by their order.
+
+    A year that is not listed belongs to the fold before it; the last fold is open-ended.
+    """
     year = F.year("price_date")
-    first, last = min(settings.fold_years), max(settings.fold_years)
-    return F.when(year < first, 0).otherwise(F.least(year, F.lit(last)) - first + 1).cast("int")
+    begun = [(year >= y).cast("int") for y in sorted(set(settings.fold_years))]
+    return sum(begun, F.lit(0)).cast("int")
 
 
 def sector_code(settings: MartSettings) -> Column:

@@ -408,6 +408,37 @@ FIBONACCI_LEVELS = """(VALUES ('0.0% (Low)', 0.0), ('23.6%', 0.236), ('38.2%', 0
   ('50.0%', 0.5), ('61.8%', 0.618), ('78.6%', 0.786), ('100% (High)', 1.0)) AS v(level, f)"""
 
 
+def windowed(parts: list[str]) -> list[str]:
+    """The same parts over the bars that reports look back on."""
+    since = "WHERE price_date >= DATE '2000-11-04'\n  GROUP BY"
+    return [p.replace("GROUP BY", since, 1) if p == BARS else p for p in parts]
+
+
+def target_prices(state: list[str]) -> str:
+    return query(
+        [
+            *state,
+            """goals AS (
+  SELECT *, close_price AS current_price, high_30 - low_30 AS span,
+         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.382::DOUBLE END AS fib_38,
+         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.618::DOUBLE END AS fib_61,
+         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.786::DOUBLE END AS fib_78,
+         CASE WHEN n_bars >= 30 THEN high_30 END AS fib_high,
+         CASE WHEN n_bars >= 30 THEN low_30 END AS support,
+         CASE WHEN n_bars >= 30 THEN high_30 END AS resistance,
+         close_price + 2 * atr_same_day AS upside_target,
+         close_price - 2 * atr_same_day AS downside_target
+  FROM state)""",
+        ],
+        "SELECT "
+        + out(
+            "symbol current_price fib_high support resistance",
+            "fib_38 fib_61 fib_78 sma_20 sma_50 upside_target downside_target",
+        )
+        + " FROM goals",
+    )
+
+
 def analytics() -> dict[str, str]:
     bars, state, close = [BARS], [BARS, *STATE], "symbol price_date close_price"
     flags = """flags AS (
@@ -505,28 +536,8 @@ def analytics() -> dict[str, str]:
             "SELECT *, CASE WHEN buy_signals > sell_signals THEN 'BUY'"
             " WHEN sell_signals > buy_signals THEN 'SELL' ELSE 'HOLD' END AS overall FROM votes",
         ),
-        "target_prices": query(
-            [
-                *state,
-                """goals AS (
-  SELECT *, close_price AS current_price, high_30 - low_30 AS span,
-         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.382::DOUBLE END AS fib_38,
-         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.618::DOUBLE END AS fib_61,
-         CASE WHEN n_bars >= 30 THEN low_30 + span * 0.786::DOUBLE END AS fib_78,
-         CASE WHEN n_bars >= 30 THEN high_30 END AS fib_high,
-         CASE WHEN n_bars >= 30 THEN low_30 END AS support,
-         CASE WHEN n_bars >= 30 THEN high_30 END AS resistance,
-         close_price + 2 * atr_same_day AS upside_target,
-         close_price - 2 * atr_same_day AS downside_target
-  FROM state)""",
-            ],
-            "SELECT "
-            + out(
-                "symbol current_price fib_high support resistance",
-                "fib_38 fib_61 fib_78 sma_20 sma_50 upside_target downside_target",
-            )
-            + " FROM goals",
-        ),
+        "target_prices": target_prices(state),
+        "target_prices_window": target_prices(windowed(state)),
         "latest_change": query(
             [
                 *bars,
@@ -543,6 +554,9 @@ def analytics() -> dict[str, str]:
         "signal_overview": query(
             OVERVIEW, f"SELECT {out(OVERVIEW_EXACT, OVERVIEW_ROUNDED)} FROM overview"
         ),
+        "signal_overview_window": query(
+            windowed(OVERVIEW), f"SELECT {out(OVERVIEW_EXACT, OVERVIEW_ROUNDED)} FROM overview"
+        ),
         "market_summary": query(
             OVERVIEW,
             "SELECT count(*) FILTER (overall_signal IN ('BUY', 'STRONG BUY')) AS buy_signals,"
@@ -839,6 +853,11 @@ def checks_and_models() -> dict[str, str]:
             " CASE WHEN position < n - (n * 2 + 9) // 10 THEN 'train' ELSE 'test' END AS role"
             " FROM complete, sized",
         ),
+        "holdout_by_date": query(
+            [*MART, complete],
+            "SELECT symbol, price_date, label, split AS role FROM complete"
+            " WHERE split <> 'validation'",
+        ),
         "cv_folds": query(
             [*MART, complete, sized, folds],
             "SELECT fold, CASE WHEN position < train_end THEN 'train' ELSE 'test' END AS role,"

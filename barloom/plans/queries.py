@@ -149,17 +149,28 @@ def core() -> dict[str, Query]:
     }
 
 
-def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+def overview(spark: SparkSession, sf_dir: str, bars: DataFrame | None = None) -> DataFrame:
     names = table(spark, sf_dir, "supplier").select(
         symbol_of("s_suppkey").alias("symbol"),
         F.col("s_name").alias("name"),
     )
-    return signals.signal_overview(star_bars(spark, sf_dir), names)
+    return signals.signal_overview(star_bars(spark, sf_dir) if bars is None else bars, names)
+
+
+BANDS = {"support", "resistance"}  # in the overview averages, in other relations extremes
 
 
 def on_overview(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    bands = {"support", "resistance"}  # here they are averages, in other relations extremes
-    return lambda s, d: rounded(operator(overview(s, d)), EXACT - bands)
+    return lambda s, d: rounded(operator(overview(s, d)), EXACT - BANDS)
+
+
+def reported_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bars that reports look back on."""
+    return analytics.since(star_bars(spark, sf_dir), settings.AS_OF, settings.REPORT_DAYS)
+
+
+def windowed_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(overview(spark, sf_dir, reported_bars(spark, sf_dir)), EXACT - BANDS)
 
 
 def per_symbol(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -189,9 +200,13 @@ def per_symbol_analytics() -> dict[str, Query]:
             lambda b: analytics.recommendation(analytics.signal_flags(b))
         ),
         "target_prices": per_symbol(analytics.target_prices),
+        "target_prices_window": lambda s, d: rounded(
+            analytics.target_prices(reported_bars(s, d))
+        ),
         "latest_change": per_symbol(analytics.latest_change),
         "recent_bars": lambda s, d: analytics.recent_bars(star_bars(s, d)),
         "signal_overview": on_overview(lambda o: o),
+        "signal_overview_window": windowed_overview,
         "market_summary": on_overview(signals.market_summary),
         "sector_signal_pivot": on_overview(signals.sector_pivot),
         "signal_distribution": on_overview(signals.signal_distribution),
@@ -501,6 +516,11 @@ def checks_and_models() -> dict[str, Query]:
             F.when(F.col("position") < cut, "train").otherwise("test").alias("role"),
         )
 
+    def holdout_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return learning.date_holdout(mart_table(spark, sf_dir)).select(
+            "symbol", "price_date", "label", "role"
+        )
+
     def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame = learning.training_frame(stored_mart(spark, sf_dir))
         position = F.col("position")
@@ -574,6 +594,7 @@ def checks_and_models() -> dict[str, Query]:
         "quality_unique_where": unique_where,
         "binary_target": binary_target,
         "holdout_split": holdout_split,
+        "holdout_by_date": holdout_by_date,
         "cv_folds": cv_folds,
         "classification_metrics": rule_metrics,
         "rf_train": trained_row("random_forest"),

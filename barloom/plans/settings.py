@@ -7,6 +7,7 @@ from barloom.operators.mart import MartSettings
 # Cut-offs that suit bars of 1995-2001.
 CUT = datetime.date(2001, 1, 1)
 AS_OF = datetime.date(2001, 11, 4)
+REPORT_DAYS = 365
 MART = MartSettings(
     validation_from=datetime.date(2000, 1, 1),
     test_from=datetime.date(2001, 1, 1),

@@ -164,3 +164,12 @@ def test_default_cut_offs(spark):
         ("train", 0), ("train", 1), ("train", 3),
         ("validation", 4), ("test", 5), ("test", 5),
     ]
+
+
+def test_folds_follow_the_listed_years_in_order(spark):
+    settings = mart.MartSettings(fold_years=(2021, 2024))
+    days = spark.sql(
+        "select explode(array(date'2020-06-01', date'2022-06-01', date'2024-06-01',"
+        " date'2026-06-01')) as price_date"
+    )
+    assert [r[0] for r in days.select(mart.fold_number(settings)).collect()] == [0, 1, 2, 2]

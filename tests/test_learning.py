@@ -89,6 +89,27 @@ def test_train_predict_save_and_load(spark, data, tmp_path):
     assert a.exceptAll(report).isEmpty() and report.exceptAll(a).isEmpty()
 
 
+def test_hold_out_by_date_and_training_window(spark, data):
+    days = [r[0] for r in data.select("price_date").distinct().orderBy("price_date").collect()]
+    early, late = days[len(days) // 2], days[len(days) * 3 // 4]
+    day = F.col("price_date")
+    split = F.when(day < F.lit(early), "train").when(day < F.lit(late), "validation")
+    dealt = data.withColumn("split", split.otherwise("test"))
+    roles = learning.date_holdout(dealt)
+    assert {r["role"] for r in roles.select("role").distinct().collect()} == {"train", "test"}
+    newest_train = roles.filter("role = 'train'").agg(F.max("price_date")).first()[0]
+    assert newest_train < early and roles.filter("role = 'test'").agg(
+        F.min("price_date")
+    ).first()[0] >= late
+    done = learning.train_model(dealt, by_date=True, **SMALL)
+    assert all(0 <= v <= 1 for v in done.metrics.values())
+    with pytest.raises(ValueError, match="not enough training data"):
+        learning.train_model(data, as_of=days[-1], days=0, symbol="S1", **SMALL)
+    inside = learning.training_window(data, days[-1], 0)
+    assert inside.select("price_date").distinct().count() == 1
+    assert learning.training_window(data, None, 0) is data
+
+
 def test_boosting_per_symbol_and_row_floors(spark, data):
     done = learning.train_model(
         data, symbol="S1", model_type="gradient_boosting", maxIter=2, maxDepth=2
