@@ -12,6 +12,7 @@ are packed as often as they occur. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -30,15 +31,27 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long, certified boolean, open boolean"
 
 
-def byte_bpe(path: str, pattern: str):
-    """Tokenizer from a file of ranks; strings of special tokens are ordinary text."""
-    import base64
+class ByteBPE:
+    """Ids of the tokenizers library with a vocabulary file, computed by tiktoken.
 
-    import tiktoken
+    Strings of the vocabulary's added tokens become the ids of those.
+    """
+
+    def __init__(self, ranks: str, pattern: str, vocabulary: str):
+        import base64
+
+        import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        with open(ranks, "rb") as lines:
+            merges = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
+        with open(vocabulary, encoding="utf-8") as file:
+            added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+        self.fast = tiktoken.Encoding(
+            "ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens=added
+        )
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.fast.encode_to_numpy(text, allowed_special="all")
 
 
 def piece_bounds(n: int, capacity: int) -> list[int]:
@@ -47,19 +60,24 @@ def piece_bounds(n: int, capacity: int) -> list[int]:
 
 
 def token_pieces(
-    docs: DataFrame, ranks: str, pattern: str, end_id: int = 2, capacity: int = CAPACITY
+    docs: DataFrame,
+    ranks: str,
+    pattern: str,
+    vocabulary: str,
+    end_id: int = 2,
+    capacity: int = CAPACITY,
 ) -> DataFrame:
     """The pieces of every document; the ids stay in the task, their checksum is kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = byte_bpe(ranks, pattern)
+        tokenizer = ByteBPE(ranks, pattern, vocabulary)
         for part in text_slices(batches):
             rows = []
             pairs = zip(
                 part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True
             )
             for doc, text in pairs:
-                ids = np.append(tokenizer.encode_to_numpy(text or ""), end_id).astype("<u4")
+                ids = np.append(tokenizer.encode(text or ""), end_id).astype("<u4")
                 cuts = piece_bounds(len(ids), capacity)
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     rows.append((doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes())))

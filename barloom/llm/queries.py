@@ -40,7 +40,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    found = packing.token_pieces(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    found = packing.token_pieces(
+        documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, vocabulary
+    )
     return packing.pack(durable(found))
 
 

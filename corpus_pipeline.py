@@ -47,7 +47,9 @@ def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of the documents and their places in sequences."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack(durable(packing.token_pieces(docs, ranks, public_tokenizers.PATTERN)))
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.token_pieces(docs, ranks, public_tokenizers.PATTERN, vocabulary)
+    return packing.pack(durable(pieces))
 
 
 STAGES = [
