@@ -34,7 +34,8 @@ PACKED = f"{PIECES}, sequence_id long, offset long, certified boolean, open bool
 class ByteBPE:
     """Ids of the tokenizers library with a vocabulary file, computed by tiktoken.
 
-    Strings of the vocabulary's added tokens become the ids of those.
+    Strings of the vocabulary's added tokens become the ids of those. tiktoken refuses texts
+    with very long runs of white space; they go through the tokenizers library.
     """
 
     def __init__(self, ranks: str, pattern: str, vocabulary: str):
@@ -49,9 +50,18 @@ class ByteBPE:
         self.fast = tiktoken.Encoding(
             "ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens=added
         )
+        self.vocabulary = vocabulary
+        self.whole = None
 
     def encode(self, text: str) -> np.ndarray:
-        return self.fast.encode_to_numpy(text, allowed_special="all")
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            if self.whole is None:
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.vocabulary)
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def piece_bounds(n: int, capacity: int) -> list[int]:

@@ -40,3 +40,9 @@ def test_strings_of_added_tokens(spark):
         f"<|{end}|>", ("alpha beta " * 300 + end) * 3,
     ]
     assert pieces(spark, texts) == wanted(texts)
+
+
+def test_million_blanks(spark):
+    n = 1_000_000
+    texts = [" " * n, "a" + " " * n + "b", "\n" * n, "x\n" + " \n\t" * n + "<|endoftext|>\u3000", "ok"]
+    assert pieces(spark, texts) == wanted(texts)
