@@ -5,8 +5,8 @@ A list is a history of entries (pattern, action, since): ``block``, ``allow`` or
 pattern. A capture matches the host, every parent domain of it, and each of those that is
 its own host followed by leading path segments. The most specific active entry decides.
 
-Intervals are cut at month borders, so the join is an equality on pattern and month with
-the interval as a residual condition. A host that holds a third of all captures meets only
+Intervals are cut at month borders into the months that have captures, so the join is an
+equality on pattern and month with the interval as a residual condition. A host that holds a third of all captures meets only
 the entries of its own patterns that are valid in one month, and adaptive execution splits
 the captures of a hot pattern.
 
@@ -18,13 +18,13 @@ each.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN_END = "9999-12-31"
 SEGMENTS = 2
-#: Intervals without end are cut into months up to this one at least.
-LAST_MONTH = "2025-12-01"
 
 
 def host_of(url: Column) -> Column:
@@ -79,6 +79,12 @@ def intervals(entries: DataFrame) -> DataFrame:
     return one.select("pattern", "action", "since", until.alias("until")).filter("action != 'lift'")
 
 
+def fetch_months(captures: DataFrame) -> list[date]:
+    """First days of the months that have captures: as many as the calendar has, at most."""
+    found = captures.select(F.trunc("fetched", "month").alias("month")).distinct()
+    return sorted(r["month"] for r in found.filter("month is not null").collect())
+
+
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """capture_id, n_active, decided_by, action, blocked of every capture.
 
@@ -86,14 +92,14 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     rows are equal.
     """
     tried = candidates(captures).withColumn("month", F.trunc("fetched", "month"))
-    last = F.greatest(
-        F.lit(LAST_MONTH).cast("date"), F.trunc("since", "month"),
-    )
-    end = F.least(F.date_sub("until", 1), F.last_day(last))
+    months = fetch_months(captures)
     valid = intervals(entries).select(
         "pattern", "action", "since", "until",
         F.explode(
-            F.sequence(F.trunc("since", "month"), F.trunc(end, "month"), F.expr("interval 1 month"))
+            F.filter(
+                F.array(*map(F.lit, months)).cast("array<date>"),
+                lambda m: (m >= F.trunc("since", "month")) & (m < F.col("until")),
+            )
         ).alias("month"),
     )
     active = tried.join(valid, ["pattern", "month"]).filter(
