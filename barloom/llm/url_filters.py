@@ -23,8 +23,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.common import durable
+
 OPEN_END = "9999-12-31"
-SEGMENTS = 2
 
 
 def host_of(url: Column) -> Column:
@@ -35,13 +36,13 @@ def host_of(url: Column) -> Column:
 
 def path_segments(url: Column) -> Column:
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/?([^?#]*)", 1)
-    return F.slice(F.filter(F.split(path, "/"), lambda s: s != ""), 1, SEGMENTS)
+    return F.filter(F.split(path, "/"), lambda s: s != "")
 
 
-def candidates(captures: DataFrame) -> DataFrame:
+def candidates(captures: DataFrame, depths: list[int]) -> DataFrame:
     """capture_id, fetched, pattern, specificity of every pattern a capture can match.
 
-    At most one a domain level and ``SEGMENTS`` for paths.
+    One a domain level, and one for each of ``depths`` that its path has segments for.
     """
     labels = F.split("host", r"\.")
     found = captures.select(
@@ -56,8 +57,8 @@ def candidates(captures: DataFrame) -> DataFrame:
         ),
     )
     paths = F.transform(
-        F.when(F.size("path") > 0, F.sequence(F.lit(1), F.size("path"))).otherwise(
-            F.array().cast("array<int>")
+        F.filter(
+            F.array(*map(F.lit, depths)).cast("array<int>"), lambda i: i <= F.size("path")
         ),
         lambda i: F.struct(
             F.concat("host", F.lit("/"), F.array_join(F.slice("path", F.lit(1), i), "/")).alias(
@@ -85,15 +86,24 @@ def fetch_months(captures: DataFrame) -> list[date]:
     return sorted(r["month"] for r in found.filter("month is not null").collect())
 
 
+def path_depths(valid: DataFrame) -> list[int]:
+    """Numbers of path segments that patterns have, without 0."""
+    found = valid.select((F.size(F.split("pattern", "/")) - 1).alias("depth")).distinct()
+    return sorted(r["depth"] for r in found.filter("depth > 0").collect())
+
+
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """capture_id, n_active, decided_by, action, blocked of every capture.
 
     ``captures`` has capture_id, url and fetched (date); identifiers are unique or repeated
     rows are equal.
     """
-    tried = candidates(captures).withColumn("month", F.trunc("fetched", "month"))
+    listed = durable(intervals(entries))
+    tried = candidates(captures, path_depths(listed)).withColumn(
+        "month", F.trunc("fetched", "month")
+    )
     months = fetch_months(captures)
-    valid = intervals(entries).select(
+    valid = listed.select(
         "pattern", "action", "since", "until",
         F.explode(
             F.filter(
