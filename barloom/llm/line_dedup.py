@@ -1,7 +1,9 @@
 """Near-duplicate lines by a deletion-neighbourhood join; the earliest line stays.
 
 Lines are sequences of words, and the edit distance counts words inserted, deleted or
-replaced, at most one. Two lines at distance one have equal first or equal last halves,
+replaced, at most one; in scripts written without blanks each character is a word. Lines
+with fewer than ``LEAST_WORDS`` words only go when an earlier line has the same words. Two
+longer lines at distance one have equal first or equal last halves,
 so first the hashes of halves are joined, which leaves few lines. Those emit their
 variants: the line without word i, once with and once without the number i, on the side
 that is not known to be equal. Equal variants that carry the same i differ by a
@@ -12,14 +14,14 @@ distance of every line that is to go and its earliest neighbour is verified on t
 A line goes when an earlier line, by (doc_id, line number), lies within the bound, whether
 or not that one stays itself.
 
-Defined results: lines with fewer than ``LEAST_WORDS`` words are never compared and stay.
-A null text stays null and an empty one empty; documents that lose all lines stay, empty.
+Defined results: lines without words stay. A null text stays null and an empty one empty; documents that lose all lines stay, empty.
 Rows with one identifier are expected to be equal and are one document. Lines with equal
 words are at distance zero whatever their spacing.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +46,13 @@ VARIANTS = "key long, kind int, doc_id long, line int"
 REPLACED, SHORTENED, WHOLE = 0, 1, 2
 _SEQUENCE, _SECOND = Rolling(4), Rolling(5)
 _TAGS = mix(np.arange(21, 29, dtype=np.uint64))
+#: Thai, Lao and Tibetan; Burmese; Khmer; kana; ideographs.
+WITHOUT_BLANKS = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF),
+    (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF),
+)
+_RANGES = "".join(f"{chr(a)}-{chr(b)}" for a, b in WITHOUT_BLANKS)
+_split = re.compile(rf"[{_RANGES}]|[^\x20\x09-\x0D{_RANGES}]+").findall
 
 
 class Sequences:
@@ -62,10 +71,29 @@ class Sequences:
         return self.run(a, i) + self.rolling.powers[i - a] * self.run(i + 1, b)
 
 
+def split_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``word_bounds``, with each character of scripts without blanks as a word."""
+    starts, ends = word_bounds(data, offsets)
+    heads = np.flatnonzero(data >= 0xE0)
+    if not len(heads):
+        return starts, ends
+    sizes = np.where(data[heads] >= 0xF0, 4, 3)
+    codes = data[heads].astype(np.int64) & np.where(sizes == 4, 7, 15)
+    for k in (1, 2, 3):
+        more = sizes > k
+        codes[more] = codes[more] << 6 | data[heads[more] + k] & 63
+    edges = np.array(WITHOUT_BLANKS) + [0, 1]
+    own = np.searchsorted(edges.ravel(), codes, "right") % 2 == 1
+    heads, tails = heads[own], heads[own] + sizes[own]
+    begin = np.concatenate((starts, heads, np.setdiff1d(tails, ends)))
+    end = np.concatenate((ends, tails, np.setdiff1d(heads, starts)))
+    return np.unique(begin), np.unique(end)
+
+
 def line_words(column: pa.Array):
     """(hashes of all words; row, first word and end word of every line)."""
     data, offsets = string_buffers(column)
-    starts, ends = word_bounds(data, offsets)
+    starts, ends = split_bounds(data, offsets)
     hashes = word_hashes(data, starts, ends)
     breaks = np.flatnonzero(data == 10)
     # a line starts at each row and behind each line feed
@@ -76,23 +104,24 @@ def line_words(column: pa.Array):
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line, two hashes and the keys of halves of every line long enough."""
+    """doc_id, line, two hashes of every line with words, and keys of halves of long ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             hashes, rows, first, stop = line_words(part.column("text"))
             number = np.arange(len(rows)) - np.searchsorted(rows, rows)
-            long = stop - first >= LEAST_WORDS
-            rows, number, first, stop = rows[long], number[long], first[long], stop[long]
+            some = stop > first
+            rows, number, first, stop = rows[some], number[some], first[some], stop[some]
             words, count = Sequences(hashes), stop - first
+            long = count >= LEAST_WORDS
             keys = []
             for half in (count // 2, (count - 1) // 2):
                 length = half.astype(np.uint64)
                 keys.append(mix(mix(words.run(first, first + half) + length) ^ _TAGS[0]))
                 keys.append(mix(mix(words.run(stop - half, stop) + length) ^ _TAGS[1]))
             size = count.astype(np.uint64)
-            flat = np.stack(keys, axis=1) if keys else np.zeros((0, 4), np.uint64)
-            ends = np.arange(len(rows) + 1, dtype=np.int32) * 4
+            flat = np.stack(keys, axis=1)[long]
+            ends = np.append(0, np.cumsum(4 * long)).astype(np.int32)
             yield pa.record_batch(
                 [
                     part.column("doc_id").take(pa.array(rows)),
@@ -136,7 +165,7 @@ def variants(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, 1 << 18):
             data, offsets = string_buffers(part.column("text"))
-            starts, ends = word_bounds(data, offsets)
+            starts, ends = split_bounds(data, offsets)
             words = Sequences(word_hashes(data, starts, ends))
             first = np.searchsorted(starts, offsets[:-1])
             stop = np.append(first[1:], len(starts))
@@ -188,7 +217,6 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         names = ["doc_id", "line", "near_doc", "near_line"]
         for part in batches:
             pairs = zip(part.column("text").to_pylist(), part.column("other").to_pylist(), strict=True)
-            # Python splits at more characters than the words here do, so split by hand.
             keep = [word_distance_at_most_one(_split(a), _split(b)) for a, b in pairs]
             yield part.select(names).filter(pa.array(keep, pa.bool_()))
 
@@ -199,13 +227,6 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     ).mapInArrow(run, schema)
 
 
-_TO_SPACE = str.maketrans("\t\n\x0b\x0c\r", "     ")
-
-
-def _split(text: str) -> list[str]:
-    return [w for w in text.translate(_TO_SPACE).split(" ") if w]
-
-
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """doc_id, line of every line that goes; ``docs`` is read twice."""
     lines = durable(lines_of(docs))
