@@ -45,8 +45,10 @@ def penalties() -> np.ndarray:
     )
 
 
-def forecast_series(dates: pd.Series, closes: pd.Series, horizon: int) -> pd.DataFrame:
-    """Fit one series and predict the days after its last date."""
+def forecast_series(
+    dates: pd.Series, closes: pd.Series, horizon: int, history: bool = False
+) -> pd.DataFrame:
+    """Fit one series and predict the days after its last date, with ``history`` its own too."""
     days = pd.to_datetime(dates).to_numpy().astype("datetime64[D]").astype(float)
     order = np.argsort(days)
     days, y = days[order], closes.to_numpy(dtype=float)[order]
@@ -58,10 +60,13 @@ def forecast_series(dates: pd.Series, closes: pd.Series, horizon: int) -> pd.Dat
     )
     deviation = np.std(y - scale * (x @ weights), ddof=1)
     ahead = days[-1] + np.arange(1, horizon + 1)
-    yhat = scale * (design(ahead, start, span) @ weights)
+    shown = ahead
+    if history:
+        shown = np.concatenate((np.unique(days), ahead))
+    yhat = scale * (design(shown, start, span) @ weights)
     return pd.DataFrame(
         {
-            "ds": ahead.astype("datetime64[D]").astype("datetime64[s]"),
+            "ds": shown.astype("datetime64[D]").astype("datetime64[s]"),
             "yhat": yhat,
             "yhat_lower": yhat - INTERVAL_Z * deviation,
             "yhat_upper": yhat + INTERVAL_Z * deviation,
@@ -69,15 +74,20 @@ def forecast_series(dates: pd.Series, closes: pd.Series, horizon: int) -> pd.Dat
     )
 
 
-def forecast(bars: DataFrame, horizon_days: int = HORIZON_DAYS) -> DataFrame:
-    """symbol, ds, yhat, yhat_lower, yhat_upper for symbols with at least 60 bars."""
+def forecast(
+    bars: DataFrame, horizon_days: int = HORIZON_DAYS, history: bool = False
+) -> DataFrame:
+    """symbol, ds, yhat, yhat_lower, yhat_upper for symbols with at least 60 bars.
+
+    With ``history`` the fitted values of the symbol's own days come before the days ahead.
+    """
     if not MIN_HORIZON <= horizon_days <= MAX_HORIZON:
         raise ValueError(f"horizon_days must be between {MIN_HORIZON} and {MAX_HORIZON}")
 
     def fit_symbol(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) < MIN_ROWS:
             return pd.DataFrame(columns=["symbol", "ds", "yhat", "yhat_lower", "yhat_upper"])
-        out = forecast_series(pdf["price_date"], pdf["close_price"], horizon_days)
+        out = forecast_series(pdf["price_date"], pdf["close_price"], horizon_days, history)
         out["ds"] = out["ds"].dt.date
         out.insert(0, "symbol", key[0])
         return out

@@ -583,7 +583,7 @@ def checks_and_models() -> dict[str, Query]:
         return learning.prediction_counts(learning.prediction_report(loaded, data))
 
     def price_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return forecast.forecast(star_bars(spark, sf_dir))
+        return forecast.forecast(star_bars(spark, sf_dir), history=True)
 
     def price_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         bars = star_bars(spark, sf_dir)
