@@ -1,6 +1,7 @@
 """Plain re-computations of the registered corpus queries."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -136,3 +137,37 @@ def deduplicated_lines(texts, least=5, bound=1):
         i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in dropped)
         for i, t in texts
     }
+
+
+def usable_vectors(sf_dir, length=None):
+    """(vec_id, vector) of the rows without nulls and non-finite components."""
+    found = rows(sf_dir, "embeddings", "vec_id, embedding")
+    return [
+        (i, v) for i, v in found
+        if v is not None and (length is None or len(v) == length)
+        and all(c is not None and math.isfinite(c) for c in v)
+    ]
+
+
+def clusters(sf_dir, k=8, rounds=10):
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256) in whole numbers."""
+    kept = [(i, [math.floor(1024 * c) for c in v]) for i, v in usable_vectors(sf_dir, 64)]
+    order = sorted((sha(f"3:{'' if i is None else i}"), x) for i, x in kept)
+    centroids = [x for _, x in order[:k]]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, x in kept:
+            members[nearest(x)[1]].append(x)
+        for n, own in members.items():
+            centroids[n] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    found = [(i, *nearest(x)) for i, x in kept]
+    per = Counter()
+    for _, distance, n in found:
+        per[n] += distance
+    return [
+        (i, n, d, per[n], sum(per.values()), sha(",".join(map(str, centroids[n])))) for i, d, n in found
+    ]

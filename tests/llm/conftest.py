@@ -63,6 +63,19 @@ def _others(folder, empty=False):
         (5, "http://u@a.example.com/x", ""),
     ]
     write(folder, "pages", pages, ["page_id", "url", "html"], [ints, text, text])
+    nan, inf = float("nan"), float("inf")
+    flat = [0.25 * k for k in range(64)]
+    vectors = [] if empty else [
+        (1, None), (2, []), (3, flat[:63]), (4, [None, *flat[1:]]), (5, [nan, *flat[1:]]),
+        (6, [-inf, *flat[1:]]), (7, flat), (7, flat), (None, flat), (8, [-0.0] * 64),
+        (9, [0.0] * 64), (10, [-0.001] * 64), (11, flat[::-1]), (12, [*flat[:60], 3, 4, 5, 6]),
+        (13, [-x for x in flat]), (None, [1.5] * 64), (14, [1.5] * 64), (15, [9.0] * 64),
+        (16, [7.25] * 63 + [-3]),
+    ]
+    clash = ["x", "cluster", "n", "component", "entries"]
+    rows = [(*r, *["y"] * len(clash)) for r in vectors]
+    kinds = [ints, pa.list_(pa.float32()), *[text] * len(clash)]
+    write(folder, "embeddings", rows, ["vec_id", "embedding", *clash], kinds)
     return folder
 
 
