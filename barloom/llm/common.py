@@ -64,9 +64,10 @@ def text_slices(
 
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, offsets of the rows in them); a null counts as empty."""
+    text = pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
     if column.null_count:
-        column = column.fill_null("")
-    column = column.cast(pa.large_string())
+        column = column.fill_null("" if text else b"")
+    column = column.cast(pa.large_string() if text else pa.large_binary())
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
@@ -127,6 +128,11 @@ _LOWER[65:91] += 32
 _ROLLING = Rolling(1)
 
 
+def spaces(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is one that parts words."""
+    return _IS_SPACE[data]
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words in the bytes; words never cross rows."""
     if not len(data):

@@ -144,10 +144,51 @@ FROM e GROUP BY conv_id
 """
 
 
+CLUSTERS_START = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+         [CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+s0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM (
+    SELECT sha256('3:' || COALESCE(CAST(vec_id AS VARCHAR), '')) AS h, x FROM kept ORDER BY h, x LIMIT 8))"""
+
+# Nearest centroid (ties: smaller number), then sums per cluster and dimension, divided downwards.
+CLUSTERS_ROUND = """,
+a{n} AS MATERIALIZED (
+  SELECT row, vec_id, x, MIN(key) % 8 AS c, MIN(key) // 8 AS distance FROM (
+    SELECT k.row, k.vec_id, k.x, s.c + 8 * CAST(list_sum(
+             [(k.x[i] - s.x[i]) * (k.x[i] - s.x[i]) FOR i IN range(1, 65)]) AS BIGINT) AS key
+    FROM kept k CROSS JOIN s{n} s)
+  GROUP BY row, vec_id, x),
+s{m} AS MATERIALIZED (
+  SELECT s.c, COALESCE(f.x, s.x) AS x FROM s{n} s LEFT JOIN (
+    SELECT c, list(CAST((v - ((v % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM (
+      SELECT c, i, SUM(v) AS v, COUNT(*) AS n FROM (
+        SELECT c, UNNEST(range(1, 65)) AS i, UNNEST(x) AS v FROM a{n}) GROUP BY c, i)
+    GROUP BY c) f USING (c))"""
+
+CLUSTERS_END = """
+SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.distance AS BIGINT) AS distance,
+       CAST(SUM(a.distance) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(SUM(a.distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(s.x, ',')) AS centroid_sha256
+FROM a10 a JOIN s10 s USING (c)
+"""
+
+CLUSTERS = (
+    CLUSTERS_START
+    + "".join(CLUSTERS_ROUND.format(n=n, m=n + 1) for n in range(11))
+    + CLUSTERS_END
+)
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_quality_rules": RULES,
         "op2_url_filters": URLS,
         "op9_chat_formatting": CHAT,
         "op10_exact_dedup": EXACT,
+        "op11_centroid_clusters": CLUSTERS,
     }

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
+    centroid_clusters,
     chat,
     exact_dedup,
+    histogram_packing,
     line_dedup,
     near_join,
     packing,
@@ -19,6 +21,7 @@ from barloom.llm import (
     quality_rules,
     suffix_dedup,
     url_filters,
+    whitening,
 )
 from barloom.llm.common import documents, durable, table
 
@@ -94,6 +97,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return histogram_packing.packed_documents(documents(spark, sf_dir), vocabulary)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1,
@@ -106,4 +122,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_quality_classifier": op8,
         "op9_chat_formatting": op9,
         "op10_exact_dedup": op10,
+        "op11_centroid_clusters": op11,
+        "op12_embedding_whitening": op12,
+        "op13_histogram_packing": op13,
     }
