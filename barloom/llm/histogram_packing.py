@@ -25,6 +25,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import durable, spaces, string_buffers, text_slices, word_bounds
+from barloom.llm.common import durable, lowered, spaces, string_buffers, text_slices, word_bounds
 
 CAPACITY = 2048
 END_ID = 1
-SLICE = 8 << 20
+SLICE = 2 << 20
+AT_ONCE = 8192
 # Words whose ids a task remembers before it starts anew.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 # Steps of closing gaps; no table met needs as many, see ``close_gaps``.
 STEPS = 1 << 14
 # Ranks and numbers of sequences in a task are below 2^44, tasks below 2^19.
@@ -50,56 +52,122 @@ PIECES = (
 )
 
 
+# Kinds of bytes: white space, letters, digits, other ASCII, and those that keep a word whole.
+# U+00C0 to U+024F, two bytes each, are letters but for two; see ``parts_of``.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[128:192] = 1
+_KIND[192:] = 4
+_KIND[0xC3:0xCA] = 1
+_KIND[[32, 9, 10, 11, 12, 13]] = 0
+_KIND[[ord("'"), ord("<")]] = 4
+_KIND[ord("0") : ord("9") + 1] = 2
+_KIND[ord("A") : ord("Z") + 1] = 1
+_KIND[ord("a") : ord("z") + 1] = 1
+# Multiplication and division sign, and the capital that becomes two characters in lower case.
+_ODD_PAIRS = ((0xC3, 0x97), (0xC3, 0xB7), (0xC4, 0xB0))
+
+
+def parts_of(data: np.ndarray, offsets: np.ndarray):
+    """(bytes without white space, starts of the parts in ``data``, their lengths, whether each
+    is a whole word of any kind).
+
+    A word of ASCII and of letters up to U+024F is cut into runs of letters, single digits and
+    runs of signs, with A-Z in lower case; the vocabulary file does the same and never joins
+    across them. A word with an apostrophe, a ``<`` or other characters stays as it is.
+    """
+    a, b = word_bounds(data, offsets)
+    if not len(a):
+        return data[:0], a, a, a.astype(bool)
+    kind = _KIND[data]
+    for lead, follower in _ODD_PAIRS:
+        kind[np.flatnonzero((data[:-1] == lead) & (data[1:] == follower))] = 4
+    whole = np.maximum.reduceat(kind, a) == 4
+    inside = ~spaces(data)
+    kept = np.zeros(len(data), bool)
+    kept[inside] = np.repeat(whole, b - a)
+    cut = np.empty(len(data), bool)
+    cut[0] = True
+    cut[1:] = kind[1:] != kind[:-1]
+    cut |= kind == 2
+    cut &= inside & ~kept
+    cut[a] = True
+    starts = np.flatnonzero(cut)
+    body = np.where(kept, data, lowered(data))[inside]
+    first = starts - np.cumsum(~inside, dtype=np.int64)[starts]
+    return body, starts, np.diff(np.append(first, len(body))), kept[starts]
+
+
 class WordIds:
-    """Ids of a tokenizers file that never joins across ASCII white space.
+    """Ids of ``word_bpe_49k.json`` of the tokenizers library.
 
-    Every distinct word goes through the library once a task; a text's ids are those of its
-    words in order. This holds for files whose normaliser and pre-tokenizer treat white space
-    as a border, as ``word_bpe_49k.json`` does.
+    A text's ids are those of its parts in order, and every distinct part goes through the
+    library once a task. Parts that are one word to the library go through it joined by
+    blanks, and the ids are told apart by the mark that ends a word.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        tokens = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(tokens.values()) + 1, bool)
+        self.ends[[k for token, k in tokens.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _numbers(self, words: list[bytes]) -> np.ndarray:
+    def _learn(self, words: list[bytes], joined: bool) -> None:
+        for k in range(0, len(words), AT_ONCE):
+            part = words[k : k + AT_ONCE]
+            if joined:
+                found = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
+                flat = np.array(found.ids, np.uint32)
+                stops = np.flatnonzero(self.ends[flat]) + 1
+                if len(stops) != len(part):
+                    raise ValueError("the vocabulary file does not end every part as one word")
+            else:
+                found = self.tokenizer.encode_batch_fast(
+                    [w.decode() for w in part], add_special_tokens=False
+                )
+                lists = [e.ids for e in found]
+                flat = np.fromiter(chain.from_iterable(lists), np.uint32)
+                stops = np.cumsum([len(x) for x in lists])
+            self.known.update(zip(part, range(len(self.known), len(self.known) + len(part))))
+            self.starts = np.concatenate((self.starts, self.starts[-1] + stops))
+            self.flat = np.concatenate((self.flat, flat))
+
+    def _numbers(self, words: list[bytes], whole: np.ndarray) -> np.ndarray:
         """Number of every word among those known, after the new ones have been learnt."""
         if len(self.known) > REMEMBERED:
-            self.known, self.starts, self.flat = {}, self.starts[:1], self.flat[:0]
-        new = [w for w in words if w not in self.known]
-        if new:
-            for w in new:
-                self.known[w] = len(self.known)
-            found = self.tokenizer.encode_batch_fast(
-                [w.decode() for w in new], add_special_tokens=False
-            )
-            lists = [e.ids for e in found]
-            ends = self.starts[-1] + np.cumsum([len(x) for x in lists])
-            self.starts = np.concatenate((self.starts, ends))
-            self.flat = np.concatenate((self.flat, *[np.array(x, np.uint32) for x in lists]))
-        return np.array([self.known[w] for w in words], np.int64)
+            self._forget()
+        known = self.known
+        new = [(w, odd) for w, odd in zip(words, whole.tolist(), strict=True) if w not in known]
+        for kind in (False, True):
+            self._learn([w for w, odd in new if odd is kind], joined=not kind)
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts in them)."""
         data, offsets = string_buffers(texts)
-        a, b = word_bounds(data, offsets)
-        if not len(a):
+        body, starts, sizes, whole = parts_of(data, offsets)
+        if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        sizes = np.concatenate(([0], np.cumsum(b - a)))
-        body = np.ascontiguousarray(data[~spaces(data)])
+        ends = np.concatenate(([0], np.cumsum(sizes)))
         words = pa.Array.from_buffers(
-            pa.large_binary(), len(a), [None, pa.py_buffer(sizes), pa.py_buffer(body)]
+            pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(body)]
         ).dictionary_encode()
-        numbers = self._numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        index = words.indices.to_numpy()
+        odd = np.zeros(len(words.dictionary), bool)
+        odd[index[whole]] = True
+        numbers = self._numbers(words.dictionary.to_pylist(), odd)[index]
         counts = self.starts[numbers + 1] - self.starts[numbers]
         ends = np.cumsum(counts)
         at = np.arange(ends[-1]) + np.repeat(self.starts[numbers] - ends + counts, counts)
         before = np.concatenate(([0], ends))
-        return self.flat[at], before[np.searchsorted(a, offsets, "left")]
+        return self.flat[at], before[np.searchsorted(starts, offsets, "left")]
 
 
 def tokens(

@@ -72,6 +72,11 @@ def test_ids_of_odd_texts():
         None, "", "  ", "áb ́c d e\u0085f", "It's  I'LL\tdon't\x0b\x0cx",
         "<|endoftext|> a<|startoftext|>b <|end of|>", "ΑΣ ΣΑΣ İstanbul ǅ ﬁ", "1234 5.6e7 #$% ½²",
         "漢字かな 한국어 각 \U0001f600\U0001f468‍\U0001f469", "word " * 3000, "x" * 5000,
+        "Ünïcödé,ÀB×C÷D İx ŁÓDŹ's ÿ1é2 Ǆ¼ áb ñ̃ \x00\x1f\x7f  é f g",
+        "a,b.c;d'e<f>g 12ab34 ''' <<<|>>> ..'s ..s İı ẞ ﻿​퟿",
+        "".join(chr(c) for c in range(1, 0x600)), " ".join(chr(c) for c in range(1, 0x600)),
+        " ".join("x" + chr(c) + "'y" + chr(c) for c in range(1, 0x600)),
+        " ".join("X" + chr(c) + "y" + chr(c) + chr(c) for c in range(1, 0x3000)),
     ]
     tokenizer = Tokenizer.from_file(VOCABULARY)
     encoder = WordIds(VOCABULARY)
