@@ -102,13 +102,22 @@ class WordIds:
 
     A text's ids are those of its parts in order, and every distinct part goes through the
     library once a task. Parts that are one word to the library go through it joined by
-    blanks, and the ids are told apart by the mark that ends a word.
+    blanks, and the ids are told apart by the mark that ends a word. They are composed letters
+    in lower case and never cut further, so the steps before the merges are left out for them.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.merges = Tokenizer.from_file(vocabulary)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         tokens = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(tokens.values()) + 1, bool)
         self.ends[[k for token, k in tokens.items() if token.endswith("</w>")]] = True
@@ -123,7 +132,8 @@ class WordIds:
         for k in range(0, len(words), AT_ONCE):
             part = words[k : k + AT_ONCE]
             if joined:
-                found = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
+                text = b" ".join(part).decode().lower()
+                found = self.merges.encode(text, add_special_tokens=False)
                 flat = np.array(found.ids, np.uint32)
                 stops = np.flatnonzero(self.ends[flat]) + 1
                 if len(stops) != len(part):
