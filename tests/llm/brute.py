@@ -120,19 +120,29 @@ def word_distance(a, b):
     return line[-1]
 
 
+# Scripts without blanks: every character counts as a word.
+WIDE = re.compile(
+    "[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+    "\U00020000-\U0003ffff]"
+)
+
+
 def deduplicated_lines(texts, least=5, bound=1):
-    """The texts without lines that are close to an earlier line of (doc_id, line) order."""
-    ordered = sorted({(i, n, x) for i, t in texts for n, x in enumerate(t.split("\n"))})
-    earlier, dropped = [], set()
-    for i, n, x in ordered:
-        words = WORD.findall(x)
-        if len(words) < least:
+    """The texts without lines whose words equal those of an earlier line of (doc_id, line)
+    order or, from ``least`` words on, differ from them in at most ``bound`` words."""
+    earlier, exact, dropped = defaultdict(list), set(), set()
+    for i, n, x in sorted({(i, n, x) for i, t in texts for n, x in enumerate(t.split("\n"))}):
+        words = WORD.findall(WIDE.sub(r" \g<0> ", x))
+        if not words:
             continue
-        if any(
-            abs(len(words) - len(w)) <= bound and word_distance(words, w) <= bound for w in earlier
+        near = [w for k in range(-bound, bound + 1) for w in earlier[len(words) + k]]
+        if tuple(words) in exact or len(words) >= least and any(
+            word_distance(words, w) <= bound for w in near
         ):
             dropped.add((i, n))
-        earlier.append(words)
+        exact.add(tuple(words))
+        if len(words) >= least:
+            earlier[len(words)].append(words)
     return {
         i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in dropped)
         for i, t in texts

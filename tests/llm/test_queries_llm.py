@@ -64,7 +64,6 @@ def test_packing(spark, any_dir):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for i, t in brute.docs(any_dir):
         ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4")

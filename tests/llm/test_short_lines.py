@@ -1,6 +1,5 @@
 """Short lines and scripts without blanks in op4, against plain comparison."""
 
-import re
 from collections import Counter
 
 import brute
@@ -9,37 +8,11 @@ import pytest
 from barloom.llm import line_dedup
 from barloom.llm import queries as q
 
-WIDE = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
-
-
-def words(line):
-    return brute.WORD.findall(WIDE.sub(r" \g<0> ", line))
-
-
-def kept_lines(texts):
-    earlier, exact, dropped = [], set(), set()
-    for i, n, x in sorted({(i, n, x) for i, t in texts for n, x in enumerate(t.split("\n"))}):
-        own = words(x)
-        if not own:
-            continue
-        if tuple(own) in exact or len(own) >= 5 and any(
-            abs(len(own) - len(w)) <= 1 and brute.word_distance(own, w) <= 1 for w in earlier
-        ):
-            dropped.add((i, n))
-        exact.add(tuple(own))
-        if len(own) >= 5:
-            earlier.append(own)
-    return {
-        i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in dropped)
-        for i, t in texts
-    }
-
-
 @pytest.mark.parametrize("kind", ["sf", "odd"])
 def test_op4(spark, kind, sf_dir, odd_dir):
     folder = {"sf": sf_dir, "odd": odd_dir}[kind]
     texts = brute.docs(folder)
-    left = kept_lines(texts)
+    left = brute.deduplicated_lines(texts)
     rows = q.op4(spark, folder).select("doc_id", "n_dropped", "kept_sha256").collect()
     assert Counter(map(tuple, rows)) == Counter(
         (i, t.count("\n") - left[i].count("\n"), brute.sha(left[i])) for i, t in texts
@@ -56,6 +29,6 @@ def test_short_and_wide_lines(spark):
     ]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     got = {r[0]: r[1] for r in line_dedup.without_near_lines(docs).collect()}
-    assert got == kept_lines(texts)
+    assert got == brute.deduplicated_lines(texts)
     assert got[2] == "\nhome\na b c d\na b c e\na b c d e"
     assert got[4] == "漢字かに" and got[5] == ""
