@@ -8,13 +8,16 @@ tasks.
 Stretches with equal bytes are counted; what is left to compare, the different stretches
 of one name, goes through suffix arrays: in blocks of bounded size, suffixes smaller than
 their successors are sorted directly, all others are induced by scanning the buckets, and
-neighbours that agree in a whole window repeat. A name with very many different stretches
-is split into blocks, and the distinct windows of those blocks are then matched by digest.
+neighbours that agree in a whole window repeat. A name with more different stretches than a
+block takes is not compared but named again: each of its stretches is cut into shorter ones
+by longer strings and another hash, and these are counted and compared in their turn. Near
+copies then part where they differ, and at the last level a name is a whole window.
 
 Defined results: a null text is empty; texts shorter than a window lose nothing. Repeated
 rows count as further occurrences, so both lose their long strings; rows with one
-identifier are expected to be equal. Stretches are told apart by 64-bit hashes within one
-name (64 bits more), windows of split names by 128-bit digests.
+identifier are expected to be equal. Rows without identifier are told apart by a hash of
+their text, put below -2^62, where no identifier may lie. Stretches are told apart by 64-bit
+hashes within one name (64 bits more).
 """
 
 from __future__ import annotations
@@ -33,11 +36,12 @@ WINDOW = 200
 GRAM = 48
 BLOCK_STRETCHES = 2000
 BLOCK_BYTES = 400_000
-STRETCHES = "doc_id long, name long, digest long, start int, windows int"
-REPEATS = (
-    "doc_id long, start long, stop long, name long, w1 long, w2 long, part long, repeated boolean"
-)
-_GRAMS, _BYTES = Rolling(2), Rolling(3)
+# Lengths of the naming strings of the further levels, in hundredths of a window.
+FINER = (56, 84, 96, 100)
+STRETCHES = "doc_id long, name long, digest long, start int, windows int, copies long"
+SPANS = "doc_id long, start long, stop long"
+_BYTES = Rolling(3)
+_GRAMS = [Rolling(2), *(Rolling(4 + k) for k in range(len(FINER)))]
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -53,15 +57,17 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def named_stretches(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
+def named_stretches(
+    data: np.ndarray, offsets: np.ndarray, window: int, gram: int, level: int = 0
+):
     """(row, name, digest, start in the row, number of windows) of every stretch."""
     n = len(data) - window + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none
     at = np.arange(len(data) - gram + 1)
-    prefix = _GRAMS.prefix(data)
-    grams = mix(_GRAMS.ranges(prefix, at, at + gram))
+    prefix = _GRAMS[level].prefix(data)
+    grams = mix(_GRAMS[level].ranges(prefix, at, at + gram))
     names = sliding_minimum(grams, window - gram + 1)
     starts = np.arange(n)
     row = np.searchsorted(offsets, starts, "right") - 1
@@ -92,13 +98,20 @@ def stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
                     pa.array(digest.view(np.int64)),
                     pa.array(start.astype(np.int32)),
                     pa.array(count.astype(np.int32)),
+                    pa.array(np.ones(len(rows), np.int64)),
                 ],
-                ["doc_id", "name", "digest", "start", "windows"],
+                [c.split()[0] for c in STRETCHES.split(", ")],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, STRETCHES)
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """Documents whose missing identifiers have been replaced by a hash of their text."""
+    name = F.lit(-(1 << 62)) - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62)) - 1
+    return docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), name))
+
+
 def suffix_array(data: bytes, depth: int) -> np.ndarray:
     """Suffixes in order of their first ``depth`` bytes, in two stages.
 
@@ -165,149 +178,170 @@ def same_windows(data: bytes, starts: np.ndarray, window: int) -> np.ndarray:
 
 
 def _compared(window: int):
-    """Rows of the stretches of whole blocks, sorted by (name, part), to their repeats."""
+    """Rows of the stretches of whole names, sorted by name, to their repeated ranges."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        data = b"".join(r[6] for r in rows)
-        base = np.cumsum([0, *[len(r[6]) for r in rows]])[:-1]
-        counts = np.array([len(r[6]) - window + 1 for r in rows])
+        data = b"".join(r[4] for r in rows)
+        base = np.cumsum([0, *[len(r[4]) for r in rows]])[:-1]
+        counts = np.array([len(r[4]) - window + 1 for r in rows])
         owner = np.repeat(np.arange(len(rows)), counts)
         rel = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        starts = base[owner] + rel
-        classes = same_windows(data, starts, window)
+        classes = same_windows(data, base[owner] + rel, window)
         size = np.bincount(classes)
-        copies = np.array([r[4] for r in rows])
+        copies = np.array([r[3] for r in rows])
         weight = np.bincount(classes, copies[owner] > 1)
-        repeated = (size[classes] > 1) | (weight[classes] > 0)
-        single = copies[owner] == 1
-        docs = np.array([r[2] for r in rows])
-        place = np.array([r[3] for r in rows], np.int64)
-        # runs of repeated windows of stretches that occur once; the others are repeats anyway
-        hit = repeated & single
+        # stretches that occur more than once are repeats anyway
+        hit = ((size[classes] > 1) | (weight[classes] > 0)) & (copies[owner] == 1)
         head = hit.copy()
         head[1:] &= ~(hit[:-1] & (owner[1:] == owner[:-1]))
         tail = hit.copy()
         tail[:-1] &= ~(hit[1:] & (owner[1:] == owner[:-1]))
         a, b = np.flatnonzero(head), np.flatnonzero(tail)
-        own = owner[a]
-        out = [
-            docs[own].tolist(),
-            (place[own] + rel[a]).tolist(),
-            (place[own] + rel[b] + window).tolist(),
-            *[[None] * len(a) for _ in range(4)],
-            [True] * len(a),
-        ]
-        # one row for each distinct window of a split name
-        split = np.array([r[5] > 1 for r in rows])[owner]
-        _, first = np.unique(np.where(split, classes, -1), return_index=True)
-        for i in first[split[first]].tolist():
-            row = rows[owner[i]]
-            raw = hashlib.blake2b(data[starts[i] : starts[i] + window], digest_size=16).digest()
-            w1, w2 = np.frombuffer(raw, np.int64).tolist()
-            at = row[3] + int(rel[i])
-            values = (row[2], at, at + window, row[0], w1, w2, row[1], bool(repeated[i]))
-            for column, value in zip(out, values, strict=True):
-                column.append(value)
-        kinds = [pa.int64()] * 7 + [pa.bool_()]
-        names = [c.split()[0] for c in REPEATS.split(", ")]
+        docs = np.array([r[1] for r in rows])[owner[a]]
+        place = np.array([r[2] for r in rows], np.int64)[owner[a]]
         return pa.record_batch(
-            [pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names
+            [pa.array(docs), pa.array(place + rel[a]), pa.array(place + rel[b] + window)],
+            ["doc_id", "start", "stop"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, last = 0, None
-        names = ["name", "part", "doc_id", "start", "copies", "parts", "bytes"]
+        names = ["name", "doc_id", "start", "copies", "bytes"]
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in names]
             for row in zip(*columns, strict=True):
-                if row[:2] != last and size >= BLOCK_BYTES:
+                if row[0] != last and size >= BLOCK_BYTES:
                     yield flush(held)
                     held, size = [], 0
-                last = row[:2]
+                last = row[0]
                 held.append(row)
-                size += len(row[6])
+                size += len(row[4])
         if held:
             yield flush(held)
 
     return run
 
 
+CUTS = ("name", "start", "windows", "copies")
+
+
+def _listed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents of wanted stretches, with a list of these."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*CUTS)).alias("cuts"))
+    return docs.select("doc_id", "text").join(lists, "doc_id")
+
+
+def _cuts(piece: pa.RecordBatch, window: int):
+    """(row of each wanted stretch, its columns, its bytes)."""
+    data, offsets = string_buffers(piece.column("text"))
+    raw = data.tobytes()
+    cuts = piece.column("cuts")
+    owner = np.repeat(np.arange(piece.num_rows), np.diff(cuts.offsets.to_numpy()))
+    flat = cuts.flatten()
+    field = {c: flat.field(c) for c in CUTS}
+    begin = field["start"].to_numpy() + offsets[owner]
+    end = np.minimum(begin + field["windows"].to_numpy() + window - 1, offsets[owner + 1])
+    return owner, field, [raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+
+
 def _cut_out(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """The bytes of the wanted stretches, next to their other columns."""
-    lists = wanted.groupBy("doc_id").agg(
-        F.collect_list(F.struct("name", "part", "start", "windows", "copies", "parts")).alias("cuts")
-    )
-    schema = "name long, part long, doc_id long, start int, copies long, parts long, bytes binary"
+    schema = "name long, doc_id long, start int, copies long, bytes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_slices(batches):
-            data, offsets = string_buffers(piece.column("text"))
-            raw = data.tobytes()
-            cuts = piece.column("cuts")
-            owner = np.repeat(np.arange(piece.num_rows), np.diff(cuts.offsets.to_numpy()))
-            flat = cuts.flatten()
-            field = {c: flat.field(c) for c in ("name", "part", "start", "windows", "copies", "parts")}
-            begin = field["start"].to_numpy() + offsets[owner]
-            end = np.minimum(begin + field["windows"].to_numpy() + window - 1, offsets[owner + 1])
-            texts = [raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            owner, field, texts = _cuts(piece, window)
             yield pa.record_batch(
                 [
-                    field["name"], field["part"], piece.column("doc_id").take(pa.array(owner)),
-                    field["start"], field["copies"], field["parts"], pa.array(texts, pa.binary()),
+                    field["name"], piece.column("doc_id").take(pa.array(owner)),
+                    field["start"], field["copies"], pa.array(texts, pa.binary()),
                 ],
-                ["name", "part", "doc_id", "start", "copies", "parts", "bytes"],
+                [c.split()[0] for c in schema.split(", ")],
             )
 
-    return docs.select("doc_id", "text").join(lists, "doc_id").mapInArrow(run, schema)
+    found = _listed(docs, wanted).mapInArrow(run, schema)
+    return found.dropDuplicates(["name", "doc_id", "start"])
+
+
+def _finer(docs: DataFrame, wanted: DataFrame, window: int, gram: int, level: int) -> DataFrame:
+    """The wanted stretches cut into shorter ones by the names of the next level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in text_slices(batches):
+            owner, field, texts = _cuts(piece, window)
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+            cut, name, digest, start, count = named_stretches(data, offsets, window, gram, level)
+            cut = cut.astype(np.int64)
+            before = field["name"].to_numpy()[cut].view(np.uint64)
+            place = field["start"].to_numpy()[cut] + start
+            yield pa.record_batch(
+                [
+                    piece.column("doc_id").take(pa.array(owner[cut])),
+                    pa.array(mix(before ^ mix(name)).view(np.int64)),
+                    pa.array(digest.view(np.int64)),
+                    pa.array(place.astype(np.int32)),
+                    pa.array(count.astype(np.int32)),
+                    field["copies"].take(pa.array(cut)),
+                ],
+                [c.split()[0] for c in STRETCHES.split(", ")],
+            )
+
+    found = _listed(docs, wanted).mapInArrow(run, STRETCHES)
+    return found.dropDuplicates(["name", "doc_id", "start"])
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, start, stop: byte ranges that repeated windows cover; ranges may overlap."""
-    found = durable(stretches(docs, window, gram))
-    names = durable(
-        found.groupBy("name")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            (F.min("digest") != F.max("digest")).alias("differ"),
-        )
-        .filter("n > 1")
-        .select("name", "differ")
-    )
-    known = durable(found.join(names, "name"))
+    """doc_id, start, stop: byte ranges that repeated windows cover; ranges may overlap.
+
+    ``copies`` counts the equal stretches a row stands for; all of them have been found
+    repeated once there are two.
+    """
+    grams = [gram, *(max(gram, window * part // 100) for part in FINER)]
     stop = (F.col("start") + F.col("windows") + F.lit(window - 1)).cast("long")
     span = [F.col("doc_id"), F.col("start").cast("long").alias("start"), stop.alias("stop")]
-    spans = known.filter("not differ").select(*span)
-
-    kinds = durable(
-        known.filter("differ").groupBy("name", "digest").agg(
-            F.count(F.lit(1)).alias("copies"),
-            F.min(F.struct("doc_id", "start", "windows")).alias("at"),
+    found = durable(stretches(docs, window, gram))
+    spans = None
+    for level in range(len(grams)):
+        names = durable(
+            found.groupBy("name")
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                (F.min("digest") != F.max("digest")).alias("differ"),
+            )
+            .filter("n > 1")
+            .select("name", "differ")
+        )
+        known = durable(found.join(names, "name"))
+        kinds = durable(
+            known.filter("differ").groupBy("name", "digest").agg(
+                F.count(F.lit(1)).alias("members"),
+                F.sum("copies").alias("copies"),
+                F.min(F.struct("doc_id", "start", "windows")).alias("at"),
+            )
+        )
+        again = known.filter("differ and copies = 1").join(
+            kinds.filter("members > 1").select("name", "digest"), ["name", "digest"]
         )
-    )
-    more = known.filter("differ").join(
-        kinds.filter("copies > 1").select("name", "digest"), ["name", "digest"]
-    )
-    spans = spans.unionByName(more.select(*span))
-
-    parts = kinds.groupBy("name").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_STRETCHES).cast("long").alias("parts")
-    )
-    wanted = kinds.join(parts, "name").select(
-        "name", F.pmod(F.xxhash64("digest"), F.col("parts")).alias("part"), "at.*", "copies", "parts"
-    )
-    blocks = _cut_out(docs, wanted, window).dropDuplicates(["name", "doc_id", "start"])
-    blocks = blocks.repartition("name", "part").sortWithinPartitions("name", "part")
-    compared = durable(blocks.mapInArrow(_compared(window), REPEATS))
-    spans = spans.unionByName(compared.filter("w1 is null").select("doc_id", "start", "stop"))
-
-    # windows of split names: those that another block has as well, in any number
-    split = compared.filter("w1 is not null")
-    again = split.groupBy("name", "w1", "w2").agg(
-        F.count(F.lit(1)).alias("blocks"), F.max("repeated").alias("repeated")
-    ).filter("blocks > 1").select("name", "w1", "w2")
-    shared = split.join(again, ["name", "w1", "w2"]).filter("not repeated")
-    return spans.unionByName(shared.select("doc_id", "start", "stop"))
+        now = known.filter("not differ and copies = 1").select(*span)
+        now = now.unionByName(again.select(*span))
+        spans = now if spans is None else spans.unionByName(now)
+
+        wanted = kinds.select("name", "at.*", "copies")
+        large = durable(
+            kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > BLOCK_STRETCHES).select("name")
+        )
+        deeper = level + 1 < len(grams) and not large.isEmpty()
+        fits = wanted.join(large, "name", "left_anti") if deeper else wanted
+        blocks = _cut_out(docs, fits, window).repartition("name").sortWithinPartitions("name")
+        spans = spans.unionByName(durable(blocks.mapInArrow(_compared(window), SPANS)))
+        if not deeper:
+            break
+        rest = wanted.join(large, "name", "left_semi")
+        found = durable(_finer(docs, rest, window, grams[level + 1], level + 1))
+    return spans
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -340,7 +374,7 @@ def _ranges(piece: pa.RecordBatch):
 
 def removal_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    docs = docs.select("doc_id", "text")
+    docs = identified(docs.withColumn("_own_id", F.col("doc_id"))).select("doc_id", "text", "_own_id")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,7 +390,7 @@ def removal_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             kinds = [pa.int64()] * 3 + [pa.string()]
             yield pa.record_batch(
-                [piece.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
+                [piece.column("_own_id"), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
                 schema_names,
             )
 
@@ -370,6 +404,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A character that is cut by the border of a span stays whole.
     """
     columns = docs.columns
+    docs = docs.withColumn("_own_id", F.col("doc_id"))
+    own = identified(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_slices(batches):
@@ -385,7 +421,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     at = stop
                 out.append(text[at:])
                 texts.append(b"".join(out).decode())
-            arrays = {c: piece.column(c) for c in columns}
+            arrays = {c: piece.column("_own_id" if c == "doc_id" else c) for c in columns}
             valid = piece.column("text").is_valid().to_pylist()
             arrays["text"] = pa.array(
                 [t if v else None for t, v in zip(texts, valid, strict=True)], pa.string()
@@ -395,5 +431,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 arrays["n_chars"] = pa.array(counts, piece.column("n_chars").type)
             yield pa.record_batch(list(arrays.values()), columns)
 
-    spans = repeated_spans(docs.select("doc_id", "text"), window)
-    return _with_spans(docs, spans).select(*columns, "_spans").mapInArrow(run, docs.schema)
+    spans = repeated_spans(own.select("doc_id", "text"), window)
+    found = _with_spans(own, spans).select(*columns, "_own_id", "_spans")
+    return found.mapInArrow(run, docs.select(*columns).schema)
