@@ -206,15 +206,17 @@ def _compared(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size, last = 0, None
+        size, last = 0, (None,) * 3
         names = ["name", "doc_id", "start", "copies", "bytes"]
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in names]
             for row in zip(*columns, strict=True):
-                if row[0] != last and size >= BLOCK_BYTES:
+                if row[:3] == last:  # cut out of a repeated row
+                    continue
+                if row[0] != last[0] and size >= BLOCK_BYTES:
                     yield flush(held)
                     held, size = [], 0
-                last = row[0]
+                last = row[:3]
                 held.append(row)
                 size += len(row[4])
         if held:
@@ -223,80 +225,86 @@ def _compared(window: int):
     return run
 
 
-CUTS = ("name", "start", "windows", "copies")
-
-
-def _listed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The documents of wanted stretches, with a list of these."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*CUTS)).alias("cuts"))
-    return docs.select("doc_id", "text").join(lists, "doc_id")
-
-
-def _cuts(piece: pa.RecordBatch, window: int):
-    """(row of each wanted stretch, its columns, its bytes)."""
-    data, offsets = string_buffers(piece.column("text"))
+CUTS = ("name", "start", "windows", "copies", "large")
+DEALT = (
+    "name long, doc_id long, start int, copies long, bytes binary, digest long, windows int, "
+    "finer boolean"
+)
+
+
+def _dealt(
+    field: dict[str, pa.Array], docs: pa.Array, texts: list[bytes], window: int, gram: int, level: int
+) -> pa.RecordBatch:
+    """Stretches with their bytes; those of large names cut into shorter ones (``finer``) by
+    the strings of the next level."""
+    large = field["large"].to_numpy(zero_copy_only=False).astype(bool)
+    stay, go = np.flatnonzero(~large), np.flatnonzero(large)
+    data = np.frombuffer(b"".join([texts[k] for k in go]), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(texts[k]) for k in go], dtype=np.int64)))
+    cut, name, digest, start, count = named_stretches(data, offsets, window, gram, level)
+    cut = cut.astype(np.int64)
+    begin = offsets[cut] + start
     raw = data.tobytes()
-    cuts = piece.column("cuts")
-    owner = np.repeat(np.arange(piece.num_rows), np.diff(cuts.offsets.to_numpy()))
-    flat = cuts.flatten()
-    field = {c: flat.field(c) for c in CUTS}
-    begin = field["start"].to_numpy() + offsets[owner]
-    end = np.minimum(begin + field["windows"].to_numpy() + window - 1, offsets[owner + 1])
-    return owner, field, [raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-
-
-def _cut_out(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """The bytes of the wanted stretches, next to their other columns."""
-    schema = "name long, doc_id long, start int, copies long, bytes binary"
+    inner = [raw[a:b] for a, b in zip(begin.tolist(), (begin + count + window - 1).tolist(), strict=True)]
+    before = field["name"].to_numpy()
+    names = mix(before[go][cut].view(np.uint64) ^ mix(name)).view(np.int64)
+    places = field["start"].to_numpy()
+    both = pa.array(np.concatenate((stay, go[cut])))
+    n = len(stay)
+    return pa.record_batch(
+        [
+            pa.array(np.concatenate((before[stay], names))),
+            docs.take(both),
+            pa.array(np.concatenate((places[stay], places[go][cut] + start)).astype(np.int32)),
+            field["copies"].take(both),
+            pa.array([texts[k] for k in stay] + inner, pa.binary()),
+            pa.array(np.concatenate((np.zeros(n, np.int64), digest.view(np.int64)))),
+            pa.array(np.concatenate((np.zeros(n), count)).astype(np.int32)),
+            pa.array(np.arange(len(both)) >= n),
+        ],
+        [c.split()[0] for c in DEALT.split(", ")],
+    )
+
+
+def _cut_out(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFrame:
+    """The wanted stretches of the documents with their bytes, see ``_dealt``."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*CUTS)).alias("cuts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_slices(batches):
-            owner, field, texts = _cuts(piece, window)
-            yield pa.record_batch(
-                [
-                    field["name"], piece.column("doc_id").take(pa.array(owner)),
-                    field["start"], field["copies"], pa.array(texts, pa.binary()),
-                ],
-                [c.split()[0] for c in schema.split(", ")],
-            )
+            data, offsets = string_buffers(piece.column("text"))
+            raw = data.tobytes()
+            cuts = piece.column("cuts")
+            owner = np.repeat(np.arange(piece.num_rows), np.diff(cuts.offsets.to_numpy()))
+            flat = cuts.flatten()
+            field = {c: flat.field(c) for c in CUTS}
+            begin = field["start"].to_numpy() + offsets[owner]
+            end = np.minimum(begin + field["windows"].to_numpy() + window - 1, offsets[owner + 1])
+            texts = [raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            ids = piece.column("doc_id").take(pa.array(owner))
+            yield _dealt(field, ids, texts, window, gram, 1)
 
-    found = _listed(docs, wanted).mapInArrow(run, schema)
-    return found.dropDuplicates(["name", "doc_id", "start"])
+    return docs.select("doc_id", "text").join(lists, "doc_id").mapInArrow(run, DEALT)
 
 
-def _finer(docs: DataFrame, wanted: DataFrame, window: int, gram: int, level: int) -> DataFrame:
-    """The wanted stretches cut into shorter ones by the names of the next level."""
+def _cut_again(wanted: DataFrame, window: int, gram: int, level: int) -> DataFrame:
+    """Stretches that bring their bytes, see ``_dealt``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_slices(batches):
-            owner, field, texts = _cuts(piece, window)
-            data = np.frombuffer(b"".join(texts), np.uint8)
-            offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-            cut, name, digest, start, count = named_stretches(data, offsets, window, gram, level)
-            cut = cut.astype(np.int64)
-            before = field["name"].to_numpy()[cut].view(np.uint64)
-            place = field["start"].to_numpy()[cut] + start
-            yield pa.record_batch(
-                [
-                    piece.column("doc_id").take(pa.array(owner[cut])),
-                    pa.array(mix(before ^ mix(name)).view(np.int64)),
-                    pa.array(digest.view(np.int64)),
-                    pa.array(place.astype(np.int32)),
-                    pa.array(count.astype(np.int32)),
-                    field["copies"].take(pa.array(cut)),
-                ],
-                [c.split()[0] for c in STRETCHES.split(", ")],
-            )
+        for piece in text_slices(batches, column="bytes"):
+            field = {c: piece.column(c) for c in CUTS}
+            texts = piece.column("bytes").to_pylist()
+            yield _dealt(field, piece.column("doc_id"), texts, window, gram, level)
 
-    found = _listed(docs, wanted).mapInArrow(run, STRETCHES)
-    return found.dropDuplicates(["name", "doc_id", "start"])
+    return wanted.select("doc_id", *CUTS, "bytes").mapInArrow(run, DEALT)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, start, stop: byte ranges that repeated windows cover; ranges may overlap.
 
     ``copies`` counts the equal stretches a row stands for; all of them have been found
-    repeated once there are two.
+    repeated once there are two. From the second level on stretches bring their bytes along,
+    so the texts are read and dealt only once.
     """
     grams = [gram, *(max(gram, window * part // 100) for part in FINER)]
     stop = (F.col("start") + F.col("windows") + F.lit(window - 1)).cast("long")
@@ -314,11 +322,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
             .select("name", "differ")
         )
         known = durable(found.join(names, "name"))
+        own = [F.first("bytes").alias("bytes")] if level else []
         kinds = durable(
             known.filter("differ").groupBy("name", "digest").agg(
                 F.count(F.lit(1)).alias("members"),
                 F.sum("copies").alias("copies"),
                 F.min(F.struct("doc_id", "start", "windows")).alias("at"),
+                *own,
             )
         )
         again = known.filter("differ and copies = 1").join(
@@ -328,19 +338,28 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         now = now.unionByName(again.select(*span))
         spans = now if spans is None else spans.unionByName(now)
 
-        wanted = kinds.select("name", "at.*", "copies")
         large = durable(
             kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > BLOCK_STRETCHES).select("name")
+            .filter(F.col("n") > BLOCK_STRETCHES).select("name", F.lit(True).alias("large"))
         )
-        deeper = level + 1 < len(grams) and not large.isEmpty()
-        fits = wanted.join(large, "name", "left_anti") if deeper else wanted
-        blocks = _cut_out(docs, fits, window).repartition("name").sortWithinPartitions("name")
+        last = level + 1 == len(grams) or large.isEmpty()
+        if last:
+            wanted = kinds.withColumn("large", F.lit(False))
+        else:
+            wanted = kinds.join(large, "name", "left").fillna(False, ["large"])
+        wanted = wanted.select("name", "at.*", "copies", "large", *(["bytes"] if level else []))
+        finer = grams[min(level + 1, len(grams) - 1)]
+        if level:
+            cut = _cut_again(wanted, window, finer, min(level + 1, len(grams) - 1))
+        else:
+            cut = _cut_out(docs, wanted, window, finer)
+        cut = cut if last else durable(cut)
+        blocks = cut.filter("not finer").select("name", "doc_id", "start", "copies", "bytes")
+        blocks = blocks.repartition("name").sortWithinPartitions("name", "doc_id", "start")
         spans = spans.unionByName(durable(blocks.mapInArrow(_compared(window), SPANS)))
-        if not deeper:
+        if last:
             break
-        rest = wanted.join(large, "name", "left_semi")
-        found = durable(_finer(docs, rest, window, grams[level + 1], level + 1))
+        found = durable(cut.filter("finer").dropDuplicates(["name", "doc_id", "start"]))
     return spans
 
 

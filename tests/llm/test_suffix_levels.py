@@ -59,7 +59,7 @@ def test_rows_stay_near_the_stretches(spark, monkeypatch):
         return stored
 
     monkeypatch.setattr(suffix_dedup, "durable", counted)
-    docs = spark.createDataFrame(near_copies(8000), "doc_id long, text string")
+    docs = spark.createDataFrame(near_copies(6000), "doc_id long, text string")
     spans = suffix_dedup.repeated_spans(docs)
     first = counts[0]
     assert max(counts) <= 2 * first and sum(counts[1:]) <= 10 * first
