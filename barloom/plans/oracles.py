@@ -751,6 +751,7 @@ def incremental_runs() -> dict[str, str]:
         "mart_incremental": query(MART, f"SELECT {labelled} FROM mart"),
         "warehouse_refresh": query(MART, f"SELECT {labelled} FROM mart"),
         "warehouse_recovery": query(MART, f"SELECT {labelled} FROM mart"),
+        "warehouse_late_recovery": query(MART, f"SELECT {labelled} FROM mart"),
         "mart_incremental_calendar": query(
             [
                 *FEATURES,

@@ -1,19 +1,28 @@
-"""Keyed Parquet tables: partitioned by date, merged by rewriting only touched partitions."""
+"""Keyed Parquet tables: partitioned by date, merged by rewriting only touched partitions.
+
+A write never touches files that readers may have open. It puts new files for the buckets it
+changes into a folder of its own, and then one small state file, which says in which folder
+every bucket is, is replaced in one step. A run that dies in between leaves the table as it
+was. The state also holds the newest day, so that a watermark costs no scan. Replaced files
+stay until ``vacuum``.
+"""
 
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.schemas import KEY, conform
 from barloom.scratch import durable
+from barloom.sources.pointer import Folder, read_state, replace_state
 
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
 GRAINS = ("day", "month", "year")
 
 
@@ -54,7 +63,9 @@ class KeyedTable:
         before: datetime.date | None = None,
     ) -> DataFrame:
         """Rows of the table, of since <= date < before; other partitions are not opened."""
-        rows = self._stored(spark)
+        limits = [self._bucket_of(spark, day) if day else None for day in (since, before)]
+        buckets = self._state(spark)[1].get("buckets", {})
+        rows = self._files(spark, self._within(buckets, *limits))
         if since is not None:
             rows = rows.filter(
                 (F.col("bucket") >= self.bucket(F.lit(since)))
@@ -68,16 +79,16 @@ class KeyedTable:
         return rows.drop("bucket")
 
     def newest(self, spark: SparkSession) -> datetime.date | None:
-        """Newest date of the table; only its newest partition is opened for it."""
-        rows = self._stored(spark)
-        bucket = rows.agg(F.max("bucket")).first()[0]
-        if bucket is None:
-            return None
-        return watermark(rows.filter(F.col("bucket") == F.lit(bucket)), self.date_column)
+        """Newest day of the table, as written down with its last change."""
+        newest = self._state(spark)[1].get("newest")
+        return newest and datetime.date.fromisoformat(newest)
 
     def replace(self, df: DataFrame) -> None:
         """Full refresh."""
-        self._write(conform(df, self.schema), "static")
+        spark = df.sparkSession
+        number, _ = self._state(spark)
+        buckets, newest = self._write(conform(df, self.schema))
+        self._commit(spark, number, {"buckets": buckets, "newest": newest})
 
     def upsert(
         self,
@@ -86,46 +97,108 @@ class KeyedTable:
     ) -> None:
         """Merge rows by key; the same rows merged twice leave the table unchanged.
 
-        The increment is computed once and kept in the shared folder. Its distinct
-        buckets, never more than the calendar has, become literals, so only those
-        partitions are read, merged and replaced when the job commits.
+        The increment is computed once and kept in the shared folder. Only the partitions of
+        its buckets are read, merged and written anew; the rest stays where it is.
         """
+        spark = df.sparkSession
+        number, state = self._state(spark)
         incoming = durable(
             conform(df, self.schema).withColumn("bucket", self.bucket(F.col(self.date_column)))
         )
-        touched = [r.bucket for r in incoming.select("bucket").distinct().collect()]
+        touched = {
+            UNDATED if r.bucket is None else r.bucket.isoformat()
+            for r in incoming.select("bucket").distinct().collect()
+        }
         if not touched:
             return
-        dated = [day for day in touched if day is not None]
-        here = F.col("bucket").isin(dated)
-        if None in touched:
-            here = here | F.col("bucket").isNull()
-        stored = self._stored(df.sparkSession).filter(here)
+        buckets = state.get("buckets", {})
+        stored = self._files(spark, {b: v for b, v in buckets.items() if b in touched})
         merged = merge(stored.drop("bucket"), incoming.drop("bucket"))
-        self._write(merged, "dynamic")
-
-    def _stored(self, spark: SparkSession) -> DataFrame:
+        changed, newest = self._write(merged)
+        kept = {b: v for b, v in buckets.items() if b not in touched}
+        # The merge may drop rows of a bucket, but rows of the newest day only for newer ones.
+        newest = max(filter(None, (state.get("newest"), newest)), default=None)
+        self._commit(spark, number, {"buckets": kept | changed, "newest": newest})
+
+    def clear(self, spark: SparkSession) -> None:
+        """Take all rows out."""
+        number, state = self._state(spark)
+        if state.get("buckets"):
+            self._commit(spark, number, {"buckets": {}, "newest": None})
+
+    def vacuum(self, spark: SparkSession) -> None:
+        """Delete files that no longer belong to the table. Nobody may be writing to it, nor
+        still be reading a state it had before."""
+        folder = Folder(spark, self.path)
+        live = {(v, b) for b, v in self._state(spark)[1].get("buckets", {}).items()}
+        for name in folder.names():
+            if name.startswith("_fresh-"):
+                folder.delete(name)
+            if not name.startswith("version="):
+                continue
+            version = name.removeprefix("version=")
+            if version not in {v for v, _ in live}:
+                folder.delete(name)
+                continue
+            for part in folder.names(name):
+                if part.startswith("bucket=") and (version, part.removeprefix("bucket=")) not in live:
+                    folder.delete(f"{name}/{part}")
+
+    def _state(self, spark: SparkSession) -> tuple[int, dict]:
+        return read_state(Folder(spark, self.path))
+
+    def _commit(self, spark: SparkSession, number: int, state: dict) -> None:
+        replace_state(Folder(spark, self.path), number, state)
+
+    def _bucket_of(self, spark: SparkSession, day: datetime.date) -> str:
+        if isinstance(day, datetime.datetime):
+            day = day.date()
+        first = {"day": day.day, "month": 1, "year": 1}[self.grain]
+        return day.replace(day=first, month=1 if self.grain == "year" else day.month).isoformat()
+
+    @staticmethod
+    def _within(buckets: dict[str, str], low: str | None, high: str | None) -> dict[str, str]:
+        """The buckets of a range; undated ones belong to no range."""
+        if low is None and high is None:
+            return buckets
+        return {
+            b: v
+            for b, v in buckets.items()
+            if b != UNDATED and (low is None or b >= low) and (high is None or b <= high)
+        }
+
+    def _files(self, spark: SparkSession, buckets: dict[str, str]) -> DataFrame:
+        """Rows of the given buckets, with the column ``bucket``."""
         full = T.StructType(self.schema.fields + [T.StructField("bucket", T.DateType())])
-        try:
-            return spark.read.schema(full).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not buckets:
             return spark.createDataFrame([], full)
+        paths = [f"{self.path}/version={v}/bucket={b}" for b, v in sorted(buckets.items())]
+        named = T.StructType(
+            [*self.schema.fields, T.StructField("version", T.StringType()), full["bucket"]]
+        )
+        found = spark.read.schema(named).option("basePath", self.path).parquet(*paths)
+        return found.drop("version")
 
-    def _write(self, df: DataFrame, overwrite: str) -> None:
+    def _write(self, df: DataFrame) -> tuple[dict[str, str], str | None]:
+        """Write rows to a folder of their own; (bucket -> version, newest day)."""
         # Rebalancing splits a bucket that holds most rows into files of the advisory
         # size and packs small buckets together; sorting gives row groups narrow ranges.
         order = [c for c in ("symbol", self.date_column) if c in df.columns]
+        version, seen = uuid.uuid4().hex, Observation()
         (
-            df.withColumn("bucket", self.bucket(F.col(self.date_column)))
+            df.observe(seen, F.max(F.to_date(self.date_column)).alias("newest"))
+            .withColumn("bucket", self.bucket(F.col(self.date_column)))
             .hint("rebalance", "bucket")
             .sortWithinPartitions("bucket", *order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", overwrite)
-            .partitionBy("bucket")
-            .parquet(self.path)
+            .write.partitionBy("bucket")
+            .parquet(f"{self.path}/version={version}")
         )
+        newest = seen.get["newest"]
+        written = Folder(df.sparkSession, self.path).names(f"version={version}")
+        buckets = {
+            n.removeprefix("bucket="): version for n in written if n.startswith("bucket=")
+        }
+        return buckets, newest and newest.isoformat()
 
 
 def save_bucketed(df: DataFrame, name: str, path: str, buckets: int) -> None:

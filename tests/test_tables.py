@@ -11,6 +11,7 @@ from barloom.plans.queries import StoppedRun, failing_at
 from barloom.plans.refresh import Warehouse
 from barloom.schemas import RAW, STAGED, SchemaDrift
 from barloom.scratch import durable
+from barloom.sources.pointer import ChangedMeanwhile
 from barloom.sources.star_bars import raw_prices
 from barloom.sources.tables import KeyedTable, merge_rows, save_bucketed, watermark
 from barloom.streaming import ingest
@@ -69,7 +70,75 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path, staged):
 
     before = files()
     table.upsert(staged.filter(F.year("price_date") == 2000))
+    # readers of the old state may still be at work
+    assert before <= files()
+    table.vacuum(spark)
     assert {bucket for bucket, _ in before - files()} == {"bucket=2000-01-01"}
+    assert same(table.read(spark), staged)
+
+
+@pytest.mark.parametrize("step", ["_write", "_commit"])
+def test_a_write_that_dies_leaves_the_table_as_it_was(spark, tmp_path, staged, monkeypatch, step):
+    table = KeyedTable(str(tmp_path / "t"), STAGED, grain="year")
+    old = durable(staged.filter(F.year("price_date") <= 2000))
+    changes = durable(
+        staged.filter(F.year("price_date") >= 2000).withColumn("volume", F.col("volume") + 1)
+    )
+    table.replace(old)
+    held = table.read(spark)
+    plain = getattr(KeyedTable, step)
+
+    def dies(self, *args):
+        if step == "_write":  # all files are there, but the state still names the old ones
+            plain(self, *args)
+        raise StoppedRun
+
+    for change in (lambda: table.upsert(changes), lambda: table.replace(changes)):
+        monkeypatch.setattr(KeyedTable, step, dies)
+        with pytest.raises(StoppedRun):
+            change()
+        monkeypatch.undo()
+        assert same(table.read(spark), old) and table.newest(spark) == watermark(old)
+    table.upsert(changes)
+    assert same(table.read(spark), merge_rows(old, changes))
+    assert table.newest(spark) == watermark(staged)
+    # a reader that planned before the write still finds its files
+    assert same(held, old)
+    table.vacuum(spark)
+    assert same(table.read(spark), merge_rows(old, changes))
+    live = {p.parent.parent.name for p in (tmp_path / "t").rglob("*.parquet")}
+    assert len(live) == 2 and not list((tmp_path / "t").glob("_fresh-*"))
+
+
+def test_two_writers_of_one_state(spark, tmp_path, staged, monkeypatch):
+    table = KeyedTable(str(tmp_path / "t"), STAGED, grain="year")
+    table.replace(staged.limit(10))
+    plain = KeyedTable._write
+
+    def slow(self, df):
+        monkeypatch.undo()
+        table.replace(staged)
+        return plain(self, df)
+
+    monkeypatch.setattr(KeyedTable, "_write", slow)
+    with pytest.raises(ChangedMeanwhile):
+        table.upsert(staged.limit(5))
+    assert same(table.read(spark), staged)
+
+
+def test_the_watermark_and_a_range_need_no_scan_of_the_table(spark, tmp_path, staged):
+    table = KeyedTable(str(tmp_path / "t"), STAGED, grain="month")
+    table.replace(staged)
+    want = watermark(staged)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    newest = table.newest(spark)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+    assert newest == want
+    assert {f.split("bucket=")[1][:7] for f in table.read(spark, since=newest).inputFiles()} == {
+        newest.isoformat()[:7]
+    }
+    table.clear(spark)
+    assert table.newest(spark) is None and table.read(spark).isEmpty()
 
 
 def test_one_hot_bucket_is_split_over_files(spark, tmp_path):
@@ -225,6 +294,31 @@ def test_first_seen_drops_rows_behind_the_watermark(spark, tmp_path):
     assert got == [micro.day(d) for d in (10, 11, 12, 20, 21)]
 
 
+@pytest.mark.parametrize("table", ["raw", "staged", "indicators", "features", "mart"])
+def test_late_corrections_survive_a_failed_run(spark, tmp_path, table):
+    """The run that brought them dies before a table; the next one has the new days only."""
+    raw = durable(raw_prices(spark, SF).filter(F.upper("sector") == "ASIA"))
+    raw = raw.filter(F.col("date").isNotNull())
+    cut = F.lit(datetime.date(2000, 7, 1)).cast("timestamp_ntz")
+    fixed = raw.filter("date = timestamp_ntz'2000-03-15'").limit(1)
+    fixed = fixed.withColumn("close_price", F.col("close_price") * 2)
+    fixed = durable(fixed.withColumn("extraction_timestamp", F.lit("2003")))
+    later = raw.filter(F.col("date") >= cut)
+    house = Warehouse(str(tmp_path / "inc"), "year", MartSettings())
+    house.full_refresh(raw.filter(F.col("date") < cut))
+    with pytest.raises(StoppedRun), failing_at(getattr(house, table).path):
+        house.incremental_refresh(spark, later.unionByName(fixed), "merge")
+    house.incremental_refresh(spark, later, "drop")
+    full = Warehouse(str(tmp_path / "full"), "year", MartSettings())
+    full.full_refresh(raw.unionByName(fixed))
+    for name in ("staged", "indicators", "features", "mart"):
+        got, want = getattr(house, name).read(spark), getattr(full, name).read(spark)
+        assert same(digits(got, 6), digits(want, 6)), name
+    key = ["date", "symbol", "close_price"]
+    assert house.raw.read(spark).join(fixed.select(*key), key).count() == 1
+    assert house.journal.read(spark).isEmpty()
+
+
 @pytest.mark.parametrize(
     ("late", "table"),
     [("merge", "staged"), ("merge", "indicators"), ("drop", "features"), ("merge", "mart")],
