@@ -277,6 +277,28 @@ def prediction_counts(report: DataFrame) -> DataFrame:
     return report.groupBy("prediction").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def recent_report(report: DataFrame, as_of: datetime.date, days: int = 365) -> DataFrame:
+    """Predictions of the last ``days`` days up to ``as_of``."""
+    day = F.col("price_date")
+    return report.filter(
+        (day >= F.lit(as_of - datetime.timedelta(days=days))) & (day <= F.lit(as_of))
+    )
+
+
+def rule_metrics(frame: DataFrame, rule: Column, folds: int = 5) -> DataFrame:
+    """Metrics per walk-forward fold of a fixed rule, true where it says buy.
+
+    A baseline for ``cross_validate``: the same test blocks, but nothing to fit. All folds are
+    counted in one pass over the positioned rows of ``training_frame``.
+    """
+    position, fold = F.col("position"), F.lit(None).cast("int")
+    for f in walk_forward_folds(frame.count(), folds):
+        inside = (position >= f.train_end) & (position < f.test_end)
+        fold = F.when(inside, F.lit(f.fold)).otherwise(fold)
+    scored = frame.select(fold.alias("fold"), "label", rule.cast("int").alias("prediction"))
+    return classification_metrics(scored.filter(F.col("fold").isNotNull()), "fold")
+
+
 def cross_validate(
     mart: DataFrame,
     model_type: str = "random_forest",

@@ -839,7 +839,38 @@ def checks_and_models() -> dict[str, str]:
   SELECT CAST(fold AS INTEGER) AS fold, fold * (n // 6) AS train_end,
          (fold + 1) * (n // 6) AS test_end
   FROM sized, range(1, 6) AS f(fold))"""
+    by_fold = """by_fold AS (
+  SELECT fold, count(*) AS n, count(*) FILTER (label = (rsi_14 < 30)::INT) AS correct,
+         count(*) FILTER (label = 1 AND rsi_14 < 30) AS hits,
+         count(*) FILTER (rsi_14 < 30) AS guessed, count(*) FILTER (label = 1) AS actual
+  FROM complete JOIN folds ON position >= train_end AND position < test_end GROUP BY fold),
+fold_metrics AS (
+  SELECT fold, correct / n AS accuracy, coalesce(hits / nullif(guessed, 0), 0) AS precision,
+         coalesce(hits / nullif(actual, 0), 0) AS recall,
+         coalesce(2 * hits / nullif(guessed + actual, 0), 0) AS f1 FROM by_fold)"""
+    names = ["accuracy", "precision", "recall", "f1"]
     return {
+        "quality_inline": query(STAGING, flagged.format(union.join(staged))),
+        "schema_drift": query(
+            STAGING,
+            "SELECT change, refused, (CASE WHEN refused THEN 0 ELSE n END)::BIGINT AS rows FROM (VALUES"
+            " ('unchanged', false), ('other order', false), ('column missing', true),"
+            " ('column added', true), ('type changed', true), ('column renamed', true))"
+            " AS c(change, refused), (SELECT count(*) AS n FROM staged)",
+        ),
+        "cv_rule_metrics": query(
+            [*MART, complete, sized, folds, by_fold],
+            f"SELECT fold, {', '.join(f'round({c}, 6) AS {c}' for c in names)} FROM fold_metrics",
+        ),
+        "cv_rule_averages": query(
+            [*MART, complete, sized, folds, by_fold],
+            f"SELECT {', '.join(f'round(avg({c}), 6) AS {c}' for c in names)} FROM fold_metrics",
+        ),
+        "rule_prediction_counts": query(
+            MART,
+            "SELECT (rsi_14 < 30)::INT AS prediction, count(*) AS rows FROM mart"
+            f" WHERE price_date BETWEEN {CUT} - INTERVAL 365 DAY AND {CUT} GROUP BY 1",
+        ),
         "quality_report": query(MART, flagged.format(union.join(report))),
         "quality_unique_where": query(
             STAGING,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -513,6 +514,51 @@ def checks_and_models() -> dict[str, Query]:
             ]
         )
 
+    def inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Row checks of the staged table, counted while it is written."""
+        checks = quality.staged_checks(lower)
+        rows, seen = quality.observed(staged_prices(spark, sf_dir), checks)
+        keyed(spark, "staged", schemas.STAGED).replace(rows)
+        return quality.observed_report(spark, checks, seen)
+
+    def drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """What the schema guard says to the staged rows with one column changed."""
+        staged = staged_prices(spark, sf_dir)
+        cases = {
+            "unchanged": staged,
+            "other order": staged.select(*reversed(staged.columns)),
+            "column missing": staged.drop("volume"),
+            "column added": staged.withColumn("note", F.lit("x")),
+            "type changed": staged.withColumn("volume", F.col("volume").cast("int")),
+            "column renamed": staged.withColumnRenamed("sector", "branch"),
+        }
+
+        def rows(df: DataFrame) -> DataFrame | None:
+            try:
+                return schemas.conform(df, schemas.STAGED)
+            except schemas.SchemaDrift:
+                return None
+
+        accepted = {case: rows(df) for case, df in cases.items()}
+        parts = [
+            (staged.limit(0) if df is None else df).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(case).alias("change"), F.lit(df is None).alias("refused"), "rows"
+            )
+            for case, df in accepted.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def rule_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame = learning.training_frame(stored_mart(spark, sf_dir))
+        return learning.rule_metrics(frame, F.col("rsi_14") < 30)
+
+    def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Predictions of a fixed rule over the last 365 days, counted by class."""
+        report = stored_mart(spark, sf_dir).select(
+            "price_date", (F.col("rsi_14") < 30).cast("int").alias("prediction")
+        )
+        return learning.prediction_counts(learning.recent_report(report, settings.CUT))
+
     def unique_where(spark: SparkSession, sf_dir: str) -> DataFrame:
         checks = quality.staged_checks(lower, unique_where="sector = 'europe'")
         return quality.quality_report([(staged_prices(spark, sf_dir), checks)])
@@ -611,6 +657,11 @@ def checks_and_models() -> dict[str, Query]:
     return {
         "quality_report": report,
         "quality_unique_where": unique_where,
+        "quality_inline": inline,
+        "schema_drift": drift,
+        "cv_rule_metrics": lambda s, d: rounded(rule_folds(s, d)),
+        "cv_rule_averages": lambda s, d: rounded(learning.average_metrics(rule_folds(s, d))),
+        "rule_prediction_counts": rule_counts,
         "binary_target": binary_target,
         "holdout_split": holdout_split,
         "holdout_by_date": holdout_by_date,
