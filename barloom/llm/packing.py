@@ -1,10 +1,13 @@
 """Packing token pieces into sequences of fixed capacity, with certified bin counts.
 
 Every partition is packed by best-fit decreasing and compared with lower bounds from two
-families of dual-feasible functions. A partition that meets its bound is certified. Bins
-with free space of the others, and half-empty bins of all, are exchanged: whole bins move
-to new partitions, where best-fit decreasing runs again; the old bins stay if it does not
-save any.
+families of dual-feasible functions. A partition that meets its bound is certified. While all
+partitions together need more bins than the bound of the whole table, bins with free space are
+exchanged: whole bins move to new partitions, where best-fit decreasing runs again; the old
+bins stay if it does not save any. A round that saves nothing is followed by one with partitions of twice the size, up
+to what a task packs with ease; the exchange ends when such a round saves no bin either, or
+nothing is left to move. A bound on the bins of all pieces together follows from the histogram
+of their lengths.
 
 Defined results: a null or empty text is one piece holding only the end id. Repeated rows
 are packed as often as they occur. An empty table gives an empty result.
@@ -26,7 +29,7 @@ from barloom.llm.common import durable, text_slices
 
 CAPACITY = 1024
 PARTITION_PIECES = 8192
-ROUNDS = 3
+LARGEST_PARTITION = 65536
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long, certified boolean, open boolean"
 
@@ -106,9 +109,14 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     k vanish, items above capacity - k fill a bin) for all k and the rounding functions
     with 1 to 20 steps.
     """
-    if not len(lengths):
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64))
+
+
+def bound_of_counts(counts: np.ndarray) -> int:
+    """``lower_bound`` of the histogram of the lengths 0 to capacity."""
+    capacity = len(counts) - 1
+    if not counts.any():
         return 0
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     size = np.arange(capacity + 1)
     total = np.concatenate(([0], np.cumsum(counts * size)))
     number = np.concatenate(([0], np.cumsum(counts)))
@@ -157,14 +165,14 @@ def best_fit_decreasing(
     return bins, offsets, np.array(free, np.int64)
 
 
-def _pack_partition(number: int, capacity: int, last: bool):
+def _pack_partition(number: int, capacity: int):
     """Pack one partition of round ``number``; column ``old`` names the bins that moved in."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece", "old"], kind="stable", ignore_index=True)
         lengths = pdf["length"].to_numpy()
         bins, offsets, free = best_fit_decreasing(lengths, capacity)
-        names = (number << 56) + (int(pdf["part"].iloc[0]) << 20) + np.arange(len(free))
+        names = (number << 50) + (int(pdf["part"].iloc[0]) << 20) + np.arange(len(free))
         bound = lower_bound(lengths, capacity)
         used = len(free)
         if number and (kept := pdf["old"].nunique()) <= used:
@@ -173,27 +181,27 @@ def _pack_partition(number: int, capacity: int, last: bool):
             bins, offsets, names = codes, pdf["old_offset"].to_numpy(), kept_names
             free = capacity - np.bincount(codes, lengths).astype(np.int64)
         met = used == bound
-        moves = (free > 0) & ((not met) | (2 * free >= capacity)) & (not last)
         certified = met | (free == 0)
         return pdf.assign(
             sequence_id=np.asarray(names)[bins],
             offset=offsets,
             certified=certified[bins],
-            open=moves[bins],
+            open=(free > 0)[bins],
         )[[c.split()[0] for c in PACKED.split(", ")]]
 
     return run
 
 
 def pack(
-    pieces: DataFrame,
-    capacity: int = CAPACITY,
-    partition_pieces: int = PARTITION_PIECES,
-    rounds: int = ROUNDS,
+    pieces: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PARTITION_PIECES
 ) -> DataFrame:
-    """Pieces with ``sequence_id``, ``offset`` and whether the bin count of the partition
-    they ended in is certified (a full bin always is). ``pieces`` is read several times: pass a stored table."""
-    total = pieces.count()
+    """Pieces with ``sequence_id``, ``offset``, whether the bin count of the partition they
+    ended in is certified (a full bin always is), and ``bound``, below which no packing of all
+    pieces gets. ``pieces`` is read several times: pass a stored table."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for row in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[row["length"]] = row["n"]
+    total, bound, closed_bins, bins = int(counts.sum()), bound_of_counts(counts), 0, None
     parts = -(-total // partition_pieces)
     todo = pieces.select(
         "*",
@@ -201,24 +209,30 @@ def pack(
         F.lit(0).cast("long").alias("old_offset"),
         F.pmod(F.xxhash64("doc_id", "piece"), F.lit(max(1, parts))).alias("part"),
     )
-    done = None
-    for number in range(rounds):
-        last = number == rounds - 1 or parts <= 1
+    done, number, size = None, 0, partition_pieces
+    while True:
         packed = durable(
-            todo.groupBy("part").applyInPandas(_pack_partition(number, capacity, last), PACKED)
+            todo.groupBy("part").applyInPandas(_pack_partition(number, capacity), PACKED)
         )
+        first = F.col("offset") == 0  # one piece a bin
+        used, moving, rows = packed.agg(
+            F.count_if(first), F.count_if(first & F.col("open")), F.count_if("open")
+        ).first()
+        stuck = bins is not None and used >= bins
+        met = closed_bins + used == bound
+        if met or parts <= 1 or not moving or (stuck and size >= LARGEST_PARTITION):
+            done = packed if done is None else done.unionByName(packed)
+            break
         closed = packed.filter(~F.col("open"))
         done = closed if done is None else done.unionByName(closed)
-        if last:
-            break
-        moving = packed.filter("open").count()
-        if not moving:
-            break
-        parts = -(-moving // partition_pieces)
+        closed_bins += used - moving
+        bins, number = moving, number + 1
+        size = min(2 * size, LARGEST_PARTITION) if stuck else size
+        parts = -(-rows // size)
         todo = packed.filter("open").select(
             *[c.split()[0] for c in PIECES.split(", ")],
             F.col("sequence_id").alias("old"),
             F.col("offset").alias("old_offset"),
             F.pmod(F.xxhash64("sequence_id", F.lit(number)), F.lit(parts)).alias("part"),
         )
-    return done.drop("open")
+    return done.drop("open").withColumn("bound", F.lit(bound).cast("long"))
