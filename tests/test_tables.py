@@ -300,9 +300,11 @@ def test_late_corrections_survive_a_failed_run(spark, tmp_path, table):
     raw = durable(raw_prices(spark, SF).filter(F.upper("sector") == "ASIA"))
     raw = raw.filter(F.col("date").isNotNull())
     cut = F.lit(datetime.date(2000, 7, 1)).cast("timestamp_ntz")
-    fixed = raw.filter("date = timestamp_ntz'2000-03-15'").limit(1)
+    early = raw.filter((F.col("date") < cut) & F.col("close_price").isNotNull())
+    fixed = early.orderBy(F.desc("date"), "symbol").limit(1)
     fixed = fixed.withColumn("close_price", F.col("close_price") * 2)
-    fixed = durable(fixed.withColumn("extraction_timestamp", F.lit("2003")))
+    fixed = durable(fixed.withColumn("extraction_timestamp", F.lit("9999")))
+    assert fixed.count() == 1
     later = raw.filter(F.col("date") >= cut)
     house = Warehouse(str(tmp_path / "inc"), "year", MartSettings())
     house.full_refresh(raw.filter(F.col("date") < cut))
@@ -326,9 +328,11 @@ def test_late_corrections_survive_a_failed_run(spark, tmp_path, table):
 def test_a_run_after_a_failed_one_completes_every_table(spark, tmp_path, late, table):
     raw = durable(raw_prices(spark, SF).filter(F.upper("sector") == "ASIA"))
     cut = F.lit(datetime.date(2000, 7, 1)).cast("timestamp_ntz")
-    fixed = raw.filter("date = timestamp_ntz'2000-03-15'").limit(1)
+    early = raw.filter((F.col("date") < cut) & F.col("close_price").isNotNull())
+    fixed = early.orderBy(F.desc("date"), "symbol").limit(1)
     fixed = fixed.withColumn("close_price", F.col("close_price") + 1)
-    fixed = durable(fixed.withColumn("extraction_timestamp", F.lit("2003")))
+    fixed = durable(fixed.withColumn("extraction_timestamp", F.lit("9999")))
+    assert fixed.count() == 1
     later = durable(raw.filter(F.col("date") >= cut).unionByName(fixed))
     house = Warehouse(str(tmp_path / "inc"), "year", MartSettings())
     house.full_refresh(raw.filter(F.col("date") < cut))
