@@ -5,15 +5,23 @@ longest key of its trie that is a prefix of the rest is replaced by the value st
 it, otherwise one character is copied. For every normalised byte the position of its
 source is recorded, which projects each piece to the bytes it came from.
 
-Pieces are chosen by the sentencepiece library on the whole text; the spans come from the
-alignment here.
-
-Defined results: a null or empty text has no pieces and decodes to the empty text.
+Pieces are then merged here by the scores of the model, the best pair first and of equal ones
+the leftmost; what is no piece becomes its bytes or, in a model without byte pieces, one
+unknown piece a run. No piece of the model crosses from a word into the space mark after it,
+so a text falls into independent parts, and the pieces of short parts are remembered (at most
+``REMEMBERED``); a model that has such a piece gets the text as one part. Only decoding is
+left to the library.
+
+Defined results: a null or empty text has no pieces and decodes to the empty text. Models
+other than byte-pair ones, with pieces defined by the user or without a space mark among the pieces
+are refused with an error.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
+import re
 import struct
 from collections.abc import Iterator
 
@@ -24,6 +32,9 @@ from pyspark.sql import DataFrame
 from barloom.llm.common import text_slices
 
 SPACE = "▁"
+# Parts of at most so many characters are remembered, so many of them in a task.
+SHORT = 32
+REMEMBERED = 300_000
 ENCODED = "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded string"
 DIGESTS = (
     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, "
@@ -85,59 +96,155 @@ def _character_length(first: int) -> int:
 
 
 class Encoder:
-    """Encodes texts exactly as the library does with the same model."""
+    """Encodes texts exactly as the library does with the same byte-pair model."""
 
-    def __init__(self, model: str):
+    def __init__(self, model: str | bytes):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as proto
 
-        self.processor = sentencepiece.SentencePieceProcessor(model_file=model)
+        given = {"model_proto": model} if isinstance(model, bytes) else {"model_file": model}
+        self.processor = sentencepiece.SentencePieceProcessor(**given)
         spec = proto.ModelProto()
         spec.ParseFromString(self.processor.serialized_model_proto())
-        norm = spec.normalizer_spec
+        norm, trained, kind = spec.normalizer_spec, spec.trainer_spec, proto.ModelProto.SentencePiece
+        kinds = [p.type for p in spec.pieces]
+        if (
+            trained.model_type != trained.BPE
+            or trained.treat_whitespace_as_suffix
+            or {kind.USER_DEFINED, kind.UNUSED} & {*kinds}
+        ):
+            raise ValueError("only byte-pair models without user-defined pieces are supported")
         self.map = CharacterMap(norm.precompiled_charsmap)
         self.prefixed = norm.add_dummy_prefix
         self.trimmed = norm.remove_extra_whitespaces
-
-    def encode(self, text: str) -> list[int]:
-        return self.processor.encode(text) if text else []
+        self.scores, self.ids = {}, {}
+        for i, (piece, of) in enumerate(zip(spec.pieces, kinds, strict=True)):
+            if of == kind.NORMAL:
+                self.scores[piece.piece], self.ids[piece.piece] = -piece.score, i
+        if SPACE not in self.ids:
+            raise ValueError("the space mark must be a piece of the model")
+        self.unknown = kinds.index(kind.UNKNOWN)
+        self.bytes = (
+            [self.processor.piece_to_id(f"<0x{n:02X}>") for n in range(256)]
+            if trained.byte_fallback
+            else []
+        )
+        lengths = [1 if of == kind.BYTE else len(p.piece.encode()) for p, of in zip(spec.pieces, kinds)]
+        marks = [p.piece.count(SPACE) for p in spec.pieces]
+        self.lengths = np.array(lengths), np.array(lengths) - 2 * np.array(marks)
+        crossing = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.scores)
+        self.part = re.compile(".+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
+        self._known: dict[str, tuple[int, ...]] = {}
+
+    def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """(piece ids, start and end of every piece in the UTF-8 bytes of the text)."""
+        none = np.zeros(0, np.int64)
+        if not text:
+            return [], none, none
+        normal, source = self.map.normalise(text)
+        marked = self.trimmed or SPACE.encode() in normal
+        if marked:
+            normal, source = self._escaped(normal, source)
+        if self.trimmed and not normal:
+            return [], none, none
+        line = (" " * self.prefixed + normal.decode()).replace(" ", SPACE)
+        head = (len(SPACE.encode()) if marked else 1) if self.prefixed else 0
+        ids: list[int] = []
+        known, pieces = self._known, self._pieces
+        for part in self.part.findall(line):
+            ids += known.get(part) or pieces(part)
+        sizes = self.lengths[0 if marked else 1][ids]
+        if not self.bytes and self.unknown in ids:
+            ids, sizes = self._joined(line, marked)
+        ends = np.maximum(np.cumsum(sizes) - head, 0)
+        starts = np.concatenate(([0], ends[:-1]))
+        return ids, source[starts], source[ends]
 
     def decode(self, ids: list[int]) -> str:
         return self.processor.decode(ids) if ids else ""
 
-    def piece_bytes(self, marked: bool) -> np.ndarray:
-        """Bytes of each piece; a space mark counts as the one byte of a space unless the
-        text itself holds such marks, which are three bytes long."""
-        if not hasattr(self, "_lengths"):
-            size = self.processor.get_piece_size()
-            pieces = [self.processor.id_to_piece(i) for i in range(size)]
-            single = np.array([self.processor.is_byte(i) for i in range(size)])
-            lengths = np.array([len(p.encode()) for p in pieces])
-            marks = np.array([p.count(SPACE) for p in pieces])
-            self._lengths = (
-                np.where(single, 1, lengths - 2 * marks),
-                np.where(single, 1, lengths),
-            )
-        return self._lengths[marked]
-
-    def spans(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end of every piece in the UTF-8 bytes of the text."""
-        if not ids:
-            none = np.zeros(0, np.int64)
-            return none, none
-        normal, source = self.map.normalise(text)
-        head = 1
-        marked = SPACE.encode() in normal
-        if marked or self.trimmed:
-            normal, source = self._escaped(normal, source)
-            head = len(SPACE.encode())
-        ends = np.cumsum(self.piece_bytes(bool(marked or self.trimmed))[np.array(ids)])
-        ends = ends - head if self.prefixed else ends
-        if ends[-1] != len(normal):
-            raise ValueError("pieces without known lengths (unknown piece) in this model")
-        ends = np.maximum(ends, 0)
-        starts = np.concatenate(([0], ends[:-1]))
-        return source[starts], source[ends]
+    def _joined(self, line: str, marked: bool) -> tuple[list[int], list[int]]:
+        """(ids, bytes of each piece) where neighbouring unknown pieces are one, as in the
+        library; their sizes are those of the symbols."""
+        ids, sizes = [], []
+        for part in self.part.findall(line):
+            for symbol in self._merged(part):
+                piece = self.ids.get(symbol, self.unknown)
+                size = len(symbol.encode()) - (0 if marked else 2 * symbol.count(SPACE))
+                if piece == self.unknown and ids and ids[-1] == piece:
+                    sizes[-1] += size
+                else:
+                    ids.append(piece)
+                    sizes.append(size)
+        return ids, sizes
+
+    def _pieces(self, part: str) -> tuple[int, ...]:
+        """Ids of an independent part."""
+        ids = []
+        for symbol in self._merged(part):
+            known = self.ids.get(symbol)
+            if known is not None:
+                ids.append(known)
+            elif self.bytes:
+                ids += [self.bytes[byte] for byte in symbol.encode()]
+            else:
+                ids.append(self.unknown)
+        found = tuple(ids)
+        if len(part) <= SHORT:
+            if len(self._known) >= REMEMBERED:
+                self._known.clear()
+            self._known[part] = found
+        return found
+
+    def _merged(self, part: str) -> list[str]:
+        """Symbols of a part after all merges, each of the best and leftmost pair."""
+        if len(part) > SHORT:
+            return self._merged_long(part)
+        score, never = self.scores.get, float("inf")
+        symbols = list(part)
+        pairs = [score(a + b, never) for a, b in zip(symbols, symbols[1:])]
+        while pairs:
+            best = min(pairs)
+            if best == never:
+                break
+            at = pairs.index(best)
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = score(symbols[at - 1] + symbols[at], never)
+            if at < len(pairs):
+                pairs[at] = score(symbols[at] + symbols[at + 1], never)
+        return symbols
+
+    def _merged_long(self, part: str) -> list[str]:
+        """The same with a heap of open pairs, for parts of any length."""
+        scores, count = self.scores, len(part)
+        size, after, before = [1] * count, list(range(1, count + 1)), list(range(-1, count - 1))
+        open_pairs = [
+            (scores[part[i : i + 2]], i, 2) for i in range(count - 1) if part[i : i + 2] in scores
+        ]
+        heapq.heapify(open_pairs)
+        while open_pairs:
+            _, left, length = heapq.heappop(open_pairs)
+            right = after[left]
+            # A pair is out of date when either side has been merged since.
+            if not size[left] or right == count or size[left] + size[right] != length:
+                continue
+            size[left], size[right] = length, 0
+            after[left] = following = after[right]
+            if following < count:
+                before[following] = left
+                wider = length + size[following]
+                score = scores.get(part[left : left + wider])
+                if score is not None:
+                    heapq.heappush(open_pairs, (score, left, wider))
+            ahead = before[left]
+            if ahead >= 0:
+                wider = size[ahead] + length
+                score = scores.get(part[ahead : ahead + wider])
+                if score is not None:
+                    heapq.heappush(open_pairs, (score, ahead, wider))
+        return [part[i : i + n] for i, n in enumerate(size) if n]
 
     def _escaped(self, normal: bytes, source: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Spaces written as marks; with trimming, only one between words and none outside."""
@@ -152,7 +259,8 @@ class Encoder:
                 out += SPACE.encode()
                 positions += [at] * 3
                 ended = True
-        if self.trimmed and ended and out:
+        # The library takes marks off the end too, whether they were spaces or not.
+        while self.trimmed and out.endswith(SPACE.encode()):
             del out[-3:], positions[-3:]
         return bytes(out), np.array([*positions, source[-1]])
 
@@ -165,8 +273,8 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
         for part in text_slices(batches):
             rows = []
             for text in part.column("text").to_pylist():
-                ids = encoder.encode(text or "")
-                rows.append((ids, *encoder.spans(text or "", ids), encoder.decode(ids)))
+                ids, starts, ends = encoder.encode(text or "")
+                rows.append((ids, starts, ends, encoder.decode(ids)))
             ints = pa.list_(pa.int32())
             yield pa.record_batch(
                 [
@@ -192,9 +300,8 @@ def encoding_digests(docs: DataFrame, model: str) -> DataFrame:
             rows = []
             for text in part.column("text").to_pylist():
                 text = text or ""
-                ids = encoder.encode(text)
+                ids, starts, ends = encoder.encode(text)
                 digits = ",".join(map(str, ids))
-                starts, ends = encoder.spans(text, ids)
                 rows.append(
                     (
                         len(ids),

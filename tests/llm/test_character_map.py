@@ -58,14 +58,14 @@ def test_longest_prefix_and_alignment():
 
 def test_spans_through_the_map():
     encoder = Encoder(public_tokenizers.path("piece_bpe_32k.model"))
+    plainly = Encoder(public_tokenizers.path("piece_bpe_32k.model"))
     assert not encoder.map.units
     encoder.map = CharacterMap(character_map(RULES))
     text = "ﬁx cafe\u0301 ①㍿ e"
     normal, source = encoder.map.normalise(text)
-    ids = encoder.encode(normal.decode())
-    starts, ends = encoder.spans(text, ids)
+    ids, starts, ends = encoder.encode(text)
+    same, _, places = plainly.encode(normal.decode())
+    assert ids == same
     assert starts[0] == 0 and ends[-1] == len(text.encode())
     assert (starts[1:] == ends[:-1]).all()
-    lengths = encoder.piece_bytes(False)[ids]
-    want = lengths.cumsum() - 1
-    assert ends.tolist() == source[want].tolist()
+    assert ends.tolist() == source[places].tolist()
