@@ -7,8 +7,9 @@ texts so that reading back gives the turns exactly. The loss mask is a list of r
 turn: characters to skip and characters to keep.
 
 Defined results: a null text or role is empty; a record of an undeclared layout has null
-turns and null text, and can be filtered on ``turns is null``; a conversation without rows
-does not exist. Turns with equal numbers are ordered by role and text. A conversation is
+turns and null text, and can be filtered on ``turns is null``, and so has a null record, one
+that is no JSON and one that is too large for a variant (over 128 MB); a conversation without
+rows does not exist. Rows without identifier are one conversation. Turns with equal numbers are ordered by role and text. A conversation is
 one row of the result, so all its turns must fit into a row.
 """
 
@@ -122,7 +123,7 @@ def _plain(text: Column) -> Column:
 def format_chat(records: DataFrame, column: str = "record") -> DataFrame:
     """The records with ``turns``, the marked ``formatted`` text and its ``loss_mask``."""
     kept = [c for c in records.columns if c not in ("turns", "formatted", "loss_mask")]
-    parsed = records.withColumn("_variant", F.parse_json(column))
+    parsed = records.withColumn("_variant", F.try_parse_json(column))
     # Two steps, or the mapping would run once for each use of the turns.
     turns = parsed.select(*kept, canonical_turns(F.col("_variant")).alias("turns"))
     parts = F.transform(

@@ -24,8 +24,9 @@ its pairs. Links are verified on the whole texts.
 
 Defined results: A-Z count as a-z. A null text or one without words has an empty set, no
 links, and is its own component. Fewer words than a shingle are one shingle. Rows with one
-identifier are one document; its smallest row by size counts in case they differ. Shingles
-are compared by 64-bit hashes.
+identifier are one document; its smallest row by size counts in case they differ. Rows without
+identifier are documents of their own, equal texts among them one document (by a 62-bit hash).
+Identifiers are below 2**62. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -60,6 +61,8 @@ SKETCH_WORDS = 8
 HUB_ROUNDS = 3
 HUB_MEMBERS = 128
 FEW_PAIRS = 64
+# Identifiers are below this number; rows without one get numbers from here on.
+NAMELESS = 1 << 62
 SKETCH_NAMES = [f"s{i}" for i in range(SKETCH_WORDS)]
 SKETCHED = (
     "doc_id long, n long, f1 long, f2 long, "
@@ -293,8 +296,23 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
 
 
 def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; ``docs`` is read several times."""
-    docs = docs.select("doc_id", "text")
+    """doc_id, n_shingles, component_id of every row; ``docs`` is read several times.
+
+    Rows without identifier take part by a number made from their text, above all
+    identifiers; in the result they have none, and neither has a component made of them alone.
+    """
+    named = docs.select(F.coalesce("doc_id", _stand_in()).alias("doc_id"), "text")
+    found = _components_of_named(named, words, percent)
+    shown = [F.when(F.col(c) < NAMELESS, F.col(c)).alias(c) for c in ("doc_id", "component_id")]
+    return found.select(shown[0], "n_shingles", shown[1])
+
+
+def _stand_in() -> Column:
+    bits = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(NAMELESS - 1)
+    return bits.bitwiseOR(F.lit(NAMELESS))
+
+
+def _components_of_named(docs: DataFrame, words: int, percent: int) -> DataFrame:
     marked = durable(sketches(docs, words, percent))
     classes = marked.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     members = durable(

@@ -57,3 +57,18 @@ def test_blocks_suffice_for_every_pair_of_sizes():
             assert band in bands.of(b)
             if differ and (a != b or differ > 1):
                 assert bands.blocks(band)[0] > differ
+
+
+def test_rows_without_identifier(spark, tmp_path):
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join([*base[:59], f"x{i}"]) for i in range(3)]
+    other = [" ".join(f"{a}{i}" for i in range(60)) for a in "uv"]
+    other.append(" ".join([*other[1].split()[:59], "y"]))
+    rows = [(None, near[0]), (5, near[1]), (None, near[2]), (4, near[0]), (None, other[0]),
+            (None, other[1]), (None, other[2]), (None, other[2]), (None, None), (None, ""), (8, "")]
+    docs = [(i, t, "en", "a", 0) for i, t in rows]
+    write(str(tmp_path), "documents", docs, NAMES, DOC_KINDS)
+    got = near_components(documents(spark, str(tmp_path)), 4, 85).collect()
+    want = [(5, 57, 4), (4, 57, 4), (None, 57, 4), (None, 57, 4), (8, 0, 8)]
+    want += [(None, 57, None)] * 4 + [(None, 0, None)] * 2
+    assert Counter(map(tuple, got)) == Counter(want)
