@@ -710,6 +710,29 @@ def ingest() -> dict[str, str]:
         ),
         "stream_ingest": query(STAGING, f"SELECT {out(STAGED_EXACT)} FROM staged"),
         "stream_dedup": query(STAGING, "SELECT symbol, price_date FROM staged"),
+        "stream_late": query(
+            [
+                BARS,
+                RAW,
+                """arrived AS (
+  SELECT *, least(CASE WHEN year(date) <= 1997 THEN 0 WHEN year(date) <= 1999 THEN 1 ELSE 2 END
+                  + CASE extraction_timestamp[1:10] WHEN '2002-01-03' THEN 1
+                         WHEN '2002-01-01' THEN 2 ELSE 0 END, 3) AS arrival
+  FROM raw),
+newest AS (SELECT symbol, arrival, max(date) AS day FROM arrived GROUP BY ALL),
+marks AS (SELECT a.arrival AS arrival, n.symbol AS symbol, max(day) AS mark
+          FROM range(4) AS a(arrival) JOIN newest n ON n.arrival < a.arrival GROUP BY ALL)""",
+            ],
+            "SELECT date, symbol, close_price, extraction_timestamp,"
+            " coalesce(date < mark - INTERVAL 30 DAY, false) AS late"
+            " FROM arrived LEFT JOIN marks USING (symbol, arrival)",
+        ),
+        "file_rejects": query(
+            [BARS, RAW],
+            "SELECT coalesce(CAST(year(date) AS VARCHAR), 'none') AS file, count(*) AS rows,"
+            " NULL AS reason FROM raw GROUP BY 1"
+            " UNION ALL SELECT 'broken.parquet', 0, 'no readable rows'",
+        ),
     }
 
 
@@ -871,6 +894,29 @@ fold_metrics AS (
             "SELECT (rsi_14 < 30)::INT AS prediction, count(*) AS rows FROM mart"
             f" WHERE price_date BETWEEN {CUT} - INTERVAL 365 DAY AND {CUT} GROUP BY 1",
         ),
+        "separable_models": query(
+            [*MART, complete],
+            "SELECT CAST(sector_code >= 2 AS INTEGER) AS label,"
+            " CAST(sector_code >= 2 AS INTEGER) AS prediction, count(*) AS rows, model_type,"
+            f" CAST(1 AS DOUBLE) AS accuracy, {AS_OF} AS trained_on, 'sector_code' AS top_feature"
+            " FROM complete, (VALUES ('random_forest'), ('gradient_boosting')) AS m(model_type)"
+            " GROUP BY sector_code >= 2, model_type",
+        ),
+        "forecast_days": query(
+            [BARS],
+            "SELECT symbol, price_date AS ds, close_price, true AS inside FROM bars"
+            " WHERE symbol IN (SELECT symbol FROM bars GROUP BY 1 HAVING count(close_price) >= 60)"
+            " UNION ALL SELECT symbol, CAST(last + CAST(ahead AS INTEGER) AS DATE), NULL, true"
+            " FROM (SELECT symbol, max(price_date) AS last FROM bars GROUP BY 1"
+            " HAVING count(close_price) >= 60),"
+            " range(1, 31) AS h(ahead)",
+        ),
+        "forecast_checks": query(
+            [BARS],
+            "SELECT symbol, arg_max(close_price, price_date) AS current_price,"
+            " true AS change_agrees, true AS inside FROM bars GROUP BY 1"
+            " HAVING count(close_price) >= 60",
+        ),
         "quality_report": query(MART, flagged.format(union.join(report))),
         "quality_unique_where": query(
             STAGING,

@@ -28,9 +28,11 @@ from barloom.plans import settings
 from barloom.plans.refresh import Warehouse
 from barloom.scratch import durable, fresh_path
 from barloom.sources import prices
+from barloom.sources.pointer import Folder
 from barloom.sources.star_bars import event_ticks, raw_prices, star_bars, symbol_of, table
 from barloom.sources.tables import KeyedTable, merge_rows, watermark
 from barloom.streaming import ingest as stream_in
+from barloom.streaming.late import LateSplit
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -335,6 +337,45 @@ def ingest() -> dict[str, Query]:
         stream_in.append_available(first, out, fresh_path(spark, "stream"))
         return spark.read.parquet(out)
 
+    def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Raw records in four arrivals, corrections one and stale copies two after their bar."""
+        year, stamp = F.year("date"), F.substring("extraction_timestamp", 1, 10)
+        arrival = (
+            F.when(year <= 1997, 0).when(year <= 1999, 1).otherwise(2)
+            + F.when(stamp == "2002-01-03", 1).when(stamp == "2002-01-01", 2).otherwise(0)
+        )
+        raw = durable(raw_prices(spark, sf_dir).withColumn("arrival", F.least(arrival, F.lit(3))))
+        landing = fresh_path(spark, "landing")
+        parted = LateSplit(fresh_path(spark, "late"), schemas.RAW, delay_days=30)
+        for number in range(4):
+            arrived = raw.filter(F.col("arrival") == number).drop("arrival")
+            arrived.write.mode("append").parquet(landing)
+            parted.run_available(stream_in.price_stream(spark, landing))
+        flagged = parted.kept(spark).withColumn("late", F.lit(False)).unionByName(
+            parted.late(spark).withColumn("late", F.lit(True))
+        )
+        return flagged.select("date", "symbol", "close_price", "extraction_timestamp", "late")
+
+    def file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Raw files by year, one more that is no Parquet file: rows of the readable years
+        and the file left out."""
+        landing = fresh_path(spark, "landing")
+        raw_prices(spark, sf_dir).withColumn("year", F.year("date")).write.partitionBy(
+            "year"
+        ).parquet(landing)
+        Folder(spark, f"{landing}/year=1998").write("broken.parquet", "PAR1 cut off here")
+        rows, rejected = prices.read_isolated(spark, schemas.RAW, landing, every_page=True)
+        loaded = rows.groupBy(F.coalesce(F.year("date").cast("string"), F.lit("none")).alias("file"))
+        return loaded.agg(
+            F.count(F.lit(1)).alias("rows"), F.lit(None).cast("string").alias("reason")
+        ).unionByName(
+            rejected.select(
+                F.element_at(F.split("file", "/"), -1).alias("file"),
+                F.lit(0).cast("bigint").alias("rows"),
+                "reason",
+            )
+        )
+
     return {
         "price_scan": lambda s, d: prices.price_scan(raw_prices(s, d), settings.AS_OF),
         "symbol_scan": lambda s, d: prices.price_scan(
@@ -362,6 +403,8 @@ def ingest() -> dict[str, Query]:
         ),
         "stream_ingest": stream_ingest,
         "stream_dedup": stream_dedup,
+        "stream_late": stream_late,
+        "file_rejects": file_rejects,
     }
 
 
@@ -647,6 +690,57 @@ def checks_and_models() -> dict[str, Query]:
         loaded, _ = learning.latest_model(spark, folder)
         return learning.prediction_counts(learning.prediction_report(loaded, data))
 
+    def separable_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Both models on a label that one split of one feature separates, saved twice and the
+        newest loaded again: every prediction must be right. By date, as the last symbols may
+        have sectors that the others do not show."""
+        gain = F.when(F.col("sector_code") >= 2, 2 * learning.THRESHOLD).otherwise(0.0)
+        data = durable(mart_table(spark, sf_dir).withColumn("next_day_return", gain))
+        folder, parts = fresh_path(spark, "models"), []
+        for kind in learning.MODEL_TYPES:
+            done = learning.train_model(data, model_type=kind, by_date=True)
+            for day in (settings.CUT, settings.AS_OF):
+                stamp = datetime.datetime.combine(day, datetime.time())
+                learning.save_model(spark, done, folder, stamp)
+            model, row = learning.latest_model(spark, folder, model_type=kind)
+            best = learning.top_features(learning.feature_importance(spark, model), 1).first()
+            scored = learning.predict(model, learning.complete_rows(data))
+            parts.append(
+                scored.groupBy("label", "prediction")
+                .agg(F.count(F.lit(1)).alias("rows"))
+                .withColumns(
+                    {
+                        "model_type": F.lit(kind),
+                        "accuracy": F.lit(done.metrics["accuracy"]),
+                        "trained_on": F.lit(row["trained_at"].date()),
+                        "top_feature": F.lit(best["feature"]),
+                    }
+                )
+            )
+        return reduce(DataFrame.unionByName, parts)
+
+    def forecast_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Days that a forecast covers, with the close where known and whether the interval
+        holds the forecast."""
+        bars = star_bars(spark, sf_dir)
+        found = forecast.forecast(bars, history=True)
+        inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+        known = bars.select("symbol", F.col("price_date").alias("ds"), "close_price")
+        return found.join(known, ["symbol", "ds"], "left").select(
+            "symbol", "ds", "close_price", inside.alias("inside")
+        )
+
+    def forecast_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Forecast metrics with the current price and whether the rest agrees with itself."""
+        bars = star_bars(spark, sf_dir)
+        found = forecast.forecast_metrics(bars, forecast.forecast(bars))
+        price, ahead = F.col("current_price"), F.col("forecast_price")
+        change = F.abs(F.col("forecast_change_pct") - (ahead / price - 1) * 100) < 1e-6
+        inside = ahead.between(F.col("min_forecast"), F.col("max_forecast"))
+        return found.select(
+            "symbol", "current_price", change.alias("change_agrees"), inside.alias("inside")
+        )
+
     def price_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         return forecast.forecast(star_bars(spark, sf_dir), history=True)
 
@@ -676,6 +770,9 @@ def checks_and_models() -> dict[str, Query]:
         "cv_metrics": lambda s, d: learning.cross_validate(stored_mart(s, d)),
         "forecast": price_forecast,
         "forecast_metrics": price_forecast_metrics,
+        "separable_models": separable_models,
+        "forecast_days": forecast_days,
+        "forecast_checks": forecast_checks,
     }
 
 

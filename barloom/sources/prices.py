@@ -45,6 +45,49 @@ def read_delivered(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def read_isolated(
+    spark: SparkSession, schema: T.StructType, *paths: str, every_page: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of the readable Parquet files, file, bytes and reason of the others).
+
+    A file without a readable end, because it was cut off or is something else, is left out
+    and reported; the other files are not affected. A file that has no rows is reported too.
+    Damage inside a file shows only when its pages are read: ``every_page`` reads all of them
+    once more and leaves a file out as a whole if it yields fewer rows than its end says.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .load(list(paths))
+        .select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
+        )
+    )
+    rows = (
+        spark.read.schema(schema)
+        .option("ignoreCorruptFiles", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(*paths)
+    )
+    file = F.col("_metadata.file_path").alias("file")
+    # Counting without columns opens the ends of the files only.
+    ends = rows.groupBy(file).agg(F.count(F.lit(1)).alias("n"))
+    state = listed.join(ends, "file", "left")
+    reason = F.when(F.col("n").isNull(), "no readable rows")
+    if every_page:
+        # Always true, but only known once every column of the row has been read.
+        whole = F.xxhash64(*schema.fieldNames()) % 2 < 2
+        read = rows.groupBy(file).agg(F.count_if(whole).alias("read"))
+        state = state.join(read, "file", "left")
+        damaged = F.coalesce("read", F.lit(0)) < F.col("n")
+        reason = reason.when(damaged, "unreadable pages")
+    rejected = state.withColumn("reason", reason).filter("reason is not null")
+    if every_page:
+        named = rows.withColumn("file", F.col("_metadata.file_path"))
+        rows = named.join(rejected.select("file"), "file", "left_anti").select(*schema.fieldNames())
+    return rows, rejected.select("file", "bytes", "reason")
+
+
 def _midnight(day: datetime.date) -> Column:
     return F.lit(day).cast("timestamp_ntz")
 
