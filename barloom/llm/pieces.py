@@ -9,8 +9,9 @@ Pieces are then merged here by the scores of the model, the best pair first and
 the leftmost; what is no piece becomes its bytes or, in a model without byte pieces, one
 unknown piece a run. No piece of the model crosses from a word into the space mark after it,
 so a text falls into independent parts, and the pieces of short parts are remembered (at most
-``REMEMBERED``); a model that has such a piece gets the text as one part. Only decoding is
-left to the library.
+``REMEMBERED``); a model that has such a piece gets the text as one part. Long parts, as in
+scripts without blanks, fall apart again between characters that no piece has side by side.
+Only decoding is left to the library.
 
 Defined results: a null or empty text has no pieces and decodes to the empty text. Models
 other than byte-pair ones, with pieces defined by the user or without a space mark among the pieces
@@ -24,6 +25,7 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -132,8 +134,10 @@ class Encoder:
         lengths = [1 if of == kind.BYTE else len(p.piece.encode()) for p, of in zip(spec.pieces, kinds)]
         marks = [p.piece.count(SPACE) for p in spec.pieces]
         self.lengths = np.array(lengths), np.array(lengths) - 2 * np.array(marks)
+        self.digits = [str(i) for i in range(len(kinds))]
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.scores)
         self.part = re.compile(".+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
+        self.inside = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
         self._known: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
@@ -181,6 +185,13 @@ class Encoder:
     def _pieces(self, part: str) -> tuple[int, ...]:
         """Ids of an independent part."""
         ids = []
+        if len(part) > SHORT:
+            cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in self.inside]
+            if cuts:
+                known = self._known
+                for a, b in pairwise([0, *cuts, len(part)]):
+                    ids += known.get(part[a:b]) or self._pieces(part[a:b])
+                return tuple(ids)
         for symbol in self._merged(part):
             known = self.ids.get(symbol)
             if known is not None:
@@ -301,7 +312,7 @@ def encoding_digests(docs: DataFrame, model: str) -> DataFrame:
             for text in part.column("text").to_pylist():
                 text = text or ""
                 ids, starts, ends = encoder.encode(text)
-                digits = ",".join(map(str, ids))
+                digits = ",".join(map(encoder.digits.__getitem__, ids))
                 rows.append(
                     (
                         len(ids),
