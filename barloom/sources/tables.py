@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.schemas import KEY, conform
-from barloom.scratch import durable
+from barloom.scratch import passing, shuffles_removed
 from barloom.sources.pointer import Folder, read_state, replace_state
 
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
@@ -97,24 +97,23 @@ class KeyedTable:
     ) -> None:
         """Merge rows by key; the same rows merged twice leave the table unchanged.
 
-        The increment is computed once and kept in the shared folder. Only the partitions of
-        its buckets are read, merged and written anew; the rest stays where it is.
+        The increment is computed once and kept in the shared folder until it is merged. Only
+        the partitions of its buckets are read, merged and written anew; the rest stays where it is.
         """
         spark = df.sparkSession
         number, state = self._state(spark)
-        incoming = durable(
-            conform(df, self.schema).withColumn("bucket", self.bucket(F.col(self.date_column)))
-        )
-        touched = {
-            UNDATED if r.bucket is None else r.bucket.isoformat()
-            for r in incoming.select("bucket").distinct().collect()
-        }
-        if not touched:
-            return
-        buckets = state.get("buckets", {})
-        stored = self._files(spark, {b: v for b, v in buckets.items() if b in touched})
-        merged = merge(stored.drop("bucket"), incoming.drop("bucket"))
-        changed, newest = self._write(merged)
+        dated = conform(df, self.schema).withColumn("bucket", self.bucket(F.col(self.date_column)))
+        with passing(dated) as incoming, shuffles_removed(spark):
+            touched = {
+                UNDATED if r.bucket is None else r.bucket.isoformat()
+                for r in incoming.select("bucket").distinct().collect()
+            }
+            if not touched:
+                return
+            buckets = state.get("buckets", {})
+            stored = self._files(spark, {b: v for b, v in buckets.items() if b in touched})
+            merged = merge(stored.drop("bucket"), incoming.drop("bucket"))
+            changed, newest = self._write(merged)
         kept = {b: v for b, v in buckets.items() if b not in touched}
         # The merge may drop rows of a bucket, but rows of the newest day only for newer ones.
         newest = max(filter(None, (state.get("newest"), newest)), default=None)
@@ -185,14 +184,14 @@ class KeyedTable:
         # size and packs small buckets together; sorting gives row groups narrow ranges.
         order = [c for c in ("symbol", self.date_column) if c in df.columns]
         version, seen = uuid.uuid4().hex, Observation()
-        (
+        rows = (
             df.observe(seen, F.max(F.to_date(self.date_column)).alias("newest"))
             .withColumn("bucket", self.bucket(F.col(self.date_column)))
             .hint("rebalance", "bucket")
             .sortWithinPartitions("bucket", *order)
-            .write.partitionBy("bucket")
-            .parquet(f"{self.path}/version={version}")
         )
+        with shuffles_removed(df.sparkSession):
+            rows.write.partitionBy("bucket").parquet(f"{self.path}/version={version}")
         newest = seen.get["newest"]
         written = Folder(df.sparkSession, self.path).names(f"version={version}")
         buckets = {
