@@ -74,16 +74,21 @@ def complete_rows(
     )
 
 
-def with_position(df: DataFrame) -> DataFrame:
-    """Adds ``position``, the 0-based place of a row in (symbol, price_date) order.
+def in_symbol(df: DataFrame) -> DataFrame:
+    """Adds ``nth``, the 1-based place of a row in its symbol, and drops nothing."""
+    return df.withColumn("nth", F.row_number().over(by_symbol()))
+
+
+def with_start(numbered: DataFrame) -> DataFrame:
+    """``position`` instead of the ``nth`` of ``in_symbol``: 0-based, in (symbol, price_date) order.
 
-    ``df`` is read twice, so pass something stored. Only one count per symbol is range
+    ``numbered`` is read twice, so pass something stored. Only one count per symbol is range
     sorted; each sorted slice adds up its own symbols, and what crosses the driver is a
-    single number per slice. Rows are then numbered within their symbol.
+    single number per slice.
     """
-    spark = df.sparkSession
+    spark = numbered.sparkSession
     counts = durable(
-        df.groupBy("symbol")
+        numbered.groupBy("symbol")
         .agg(F.count(F.lit(1)).alias("n"))
         .repartitionByRange("symbol")
         .withColumn("slice", F.spark_partition_id())
@@ -103,12 +108,32 @@ def with_position(df: DataFrame) -> DataFrame:
         (F.col("slice_start") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("start"),
     )
     return (
-        df.join(starts, "symbol")
-        .withColumn("position", F.col("start") + F.row_number().over(by_symbol()) - 1)
-        .drop("start")
+        numbered.join(starts, "symbol")
+        .withColumn("position", F.col("start") + F.col("nth") - 1)
+        .drop("start", "nth")
     )
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Adds ``position``, the 0-based place of a row in (symbol, price_date) order.
+
+    ``df`` is read twice, so pass something stored. See ``with_start``.
+    """
+    return with_start(in_symbol(df))
+
+
+def positions(
+    mart: DataFrame, columns: Sequence[str] = (), threshold: float = THRESHOLD
+) -> DataFrame:
+    """Key, ``columns`` and position of the rows of ``training_frame``, without the rest of them.
+
+    Rows are numbered in the partitions in which the mart is made, before anything is stored:
+    only these columns are written, and the rows are not shuffled by symbol once more.
+    """
+    rows = in_symbol(complete_rows(mart, threshold))
+    return with_start(durable(rows.select("symbol", "price_date", *columns, "nth")))
+
+
 def holdout_start(rows: int, tenths: int = HOLDOUT_TENTHS) -> int:
     """Number of training rows when the last tenths, rounded up, are held out."""
     return rows - -(-rows * tenths // 10)
