@@ -25,6 +25,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -39,7 +40,7 @@ CAPACITY = 2048
 END_ID = 1
 SLICE = 2 << 20
 AT_ONCE = 8192
-# Words whose ids a task remembers before it starts anew.
+# Words whose ids a worker remembers before it starts anew.
 REMEMBERED = 1 << 19
 # Steps of closing gaps; no table met needs as many, see ``close_gaps``.
 STEPS = 1 << 14
@@ -101,7 +102,7 @@ class WordIds:
     """Ids of ``word_bpe_49k.json`` of the tokenizers library.
 
     A text's ids are those of its parts in order, and every distinct part goes through the
-    library once a task. Parts that are one word to the library go through it joined by
+    library once a worker. Parts that are one word to the library go through it joined by
     blanks, and the ids are told apart by the mark that ends a word. They are composed letters
     in lower case and never cut further, so the steps before the merges are left out for them.
     """
@@ -180,6 +181,12 @@ class WordIds:
         return self.flat[at], before[np.searchsorted(starts, offsets, "left")]
 
 
+@lru_cache(maxsize=1)
+def word_ids(vocabulary: str) -> WordIds:
+    """The ids of a vocabulary file, kept with the words they know for the worker's next tasks."""
+    return WordIds(vocabulary)
+
+
 def tokens(
     docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY
 ) -> DataFrame:
@@ -188,7 +195,7 @@ def tokens(
     and its rank in the task among equal rests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = WordIds(vocabulary), TaskContext.get().partitionId()
+        encoder, task = word_ids(vocabulary), TaskContext.get().partitionId()
         small = max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
         width = 2 if small else 4
         seen, fulls = np.zeros(capacity, np.int64), 0
