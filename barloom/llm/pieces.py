@@ -25,6 +25,7 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -276,11 +277,17 @@ class Encoder:
         return bytes(out), np.array([*positions, source[-1]])
 
 
+@lru_cache(maxsize=1)
+def encoder_of(model: str) -> Encoder:
+    """The encoder of a model file, kept with the parts it knows for the worker's next tasks."""
+    return Encoder(model)
+
+
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, piece ids, their byte spans in the text and the decoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        encoder = encoder_of(model)
         for part in text_slices(batches):
             rows = []
             for text in part.column("text").to_pylist():
@@ -306,7 +313,7 @@ def encoding_digests(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        encoder = encoder_of(model)
         for part in text_slices(batches):
             rows = []
             for text in part.column("text").to_pylist():
