@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -109,16 +110,18 @@ class KeyedTable:
         self,
         df: DataFrame,
         merge: Callable[[DataFrame, DataFrame], DataFrame] = merge_rows,
+        stored: bool = False,
     ) -> None:
         """Merge rows by key; the same rows merged twice leave the table unchanged.
 
-        The increment is computed once and kept in the shared folder until it is merged. Only
-        the partitions of its buckets are read, merged and written anew; the rest stays where it is.
+        The increment is computed once and kept in the shared folder until it is merged, unless
+        ``stored`` says that it is read from files already. Only the partitions of its buckets are
+        read, merged and written anew; the rest stays where it is.
         """
         spark = df.sparkSession
         number, state = self._state(spark)
         dated = conform(df, self.schema).withColumn("bucket", self.bucket(F.col(self.date_column)))
-        with passing(dated) as incoming, shuffles_removed(spark):
+        with nullcontext(dated) if stored else passing(dated) as incoming, shuffles_removed(spark):
             touched = {
                 UNDATED if r.bucket is None else r.bucket.isoformat()
                 for r in incoming.select("bucket").distinct().collect()
@@ -126,8 +129,8 @@ class KeyedTable:
             if not touched:
                 return
             buckets = state.get("buckets", {})
-            stored = self._files(spark, {b: v for b, v in buckets.items() if b in touched})
-            merged = merge(stored.drop("bucket"), incoming.drop("bucket"))
+            old = self._files(spark, {b: v for b, v in buckets.items() if b in touched})
+            merged = merge(old.drop("bucket"), incoming.drop("bucket"))
             changed, newest = self._write(merged)
         kept = {b: v for b, v in buckets.items() if b not in touched}
         # The merge may drop rows of a bucket, but rows of the newest day only for newer ones.

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from barloom.operators.staging import stage_prices, standardise
 from barloom.plans.refresh import newest_staged
-from barloom.schemas import RAW
+from barloom.schemas import RAW, STAGED
+from barloom.scratch import shuffles_removed
+from barloom.sources.pointer import Folder
 from barloom.sources.tables import KeyedTable
 
 
@@ -24,21 +26,32 @@ def price_stream(spark: SparkSession, landing: str, files_per_trigger: int = 100
 def ingest_available(stream: DataFrame, table: KeyedTable, checkpoint: str) -> None:
     """Merge everything that has landed since the last run into the staged table.
 
-    The checkpoint is the cursor. A batch that is replayed after a failure merges the
-    same keys again and changes nothing; records arriving in any order end up the same,
-    because the latest extraction wins.
+    The checkpoint is the cursor. Every batch stores its staged rows beside it under the number of
+    the batch, and all of them are merged at once when the stream has ended, so that a bucket is
+    written anew once a run and not once a batch. A batch that is replayed after a failure replaces
+    its own rows; rows of a run that died before the merge are merged by the next one. Records
+    arriving in any order end up the same, because the latest extraction wins.
     """
+    spark, arrived = stream.sparkSession, f"{checkpoint}-arrived"
 
-    def merge(batch: DataFrame, _: int) -> None:
-        table.upsert(stage_prices(batch), merge=newest_staged)
+    def keep(batch: DataFrame, number: int) -> None:
+        with shuffles_removed(batch.sparkSession):
+            stage_prices(batch).write.mode("overwrite").parquet(f"{arrived}/batch={number}")
 
     query = (
-        stream.writeStream.foreachBatch(merge)
+        stream.writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    folder = Folder(spark, arrived)
+    batches = folder.names()
+    if batches:
+        rows = spark.read.schema(STAGED).parquet(*[f"{arrived}/{name}" for name in batches])
+        table.upsert(rows, merge=newest_staged, stored=True)
+        for name in batches:
+            folder.delete(name)
 
 
 def first_seen(stream: DataFrame, delay: str = "1 day") -> DataFrame:
