@@ -20,13 +20,15 @@ are refused with an error.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
-from itertools import pairwise
+from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,9 @@ from barloom.llm.common import text_slices
 SPACE = "▁"
 # Parts of at most so many characters are remembered, so many of them in a task.
 SHORT = 32
-REMEMBERED = 300_000
+REMEMBERED = 450_000
+# Texts whose new parts are merged together, and parts merged side by side.
+TOGETHER, ABREAST = 200, 2_000
 ENCODED = "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded string"
 DIGESTS = (
     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, "
@@ -137,27 +141,84 @@ class Encoder:
         self.lengths = np.array(lengths), np.array(lengths) - 2 * np.array(marks)
         self.digits = [str(i) for i in range(len(kinds))]
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.scores)
-        self.part = re.compile(".+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
+        # Characters that occur in no piece of several, as line ends, stand by themselves.
+        joining = re.escape("".join(sorted({c for p in self.scores if len(p) > 1 for c in p} - {SPACE})))
+        split = f"{SPACE}*[{joining}]+|{SPACE}+|[^{SPACE}{joining}]" if joining else "."
+        self.part = re.compile(".+" if crossing else split, re.DOTALL)
         self.inside = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
         self._known: dict[str, tuple[int, ...]] = {}
+        self._number_pairs()
+
+    def _number_pairs(self) -> None:
+        """Numbers of all symbols, and of each two that merge the score and the symbol they make.
+
+        Symbols are pieces and characters of pieces; 0 is any other character.
+        """
+        numbers = {c: 0 for p in self.scores for c in p} | dict.fromkeys(self.scores, 0)
+        for i, symbol in enumerate(numbers, 1):
+            numbers[symbol] = i
+        self.piece_of = np.array([-1, *[self.ids.get(symbol, -1) for symbol in numbers]])
+        # One object per id for all remembered parts, which is less memory to hold and to walk.
+        self.shared = np.array([*range(len(self.digits))], object)
+        self.symbol_of = np.zeros(0x110000, np.int32)
+        for symbol, i in numbers.items():
+            if len(symbol) == 1:
+                self.symbol_of[ord(symbol)] = i
+        pairs = sorted(
+            (numbers[p[:i]] << 32 | numbers[p[i:]], cost, numbers[p])
+            for p, cost in self.scores.items()
+            for i in range(1, len(p))
+            if p[:i] in numbers and p[i:] in numbers
+        )
+        # The last one is never found and stands for all pairs that do not merge.
+        self.pairs = np.array([*[key for key, _, _ in pairs], np.iinfo(np.int64).max])
+        self.costs = np.array([*[cost for _, cost, _ in pairs], np.inf])
+        self.made = np.array([*[symbol for _, _, symbol in pairs], 0])
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """(piece ids, start and end of every piece in the UTF-8 bytes of the text)."""
+        return next(self.encode_all([text]))
+
+    def encode_all(
+        self, texts: Iterable[str]
+    ) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """``encode`` of every text. Short parts that are new in a batch are merged together."""
+        for batch in batched(texts, TOGETHER):
+            known = self._known
+            split = [self._split(text) for text in batch]
+            every = set(chain.from_iterable(parts for _, parts, *_ in split))
+            new = [part for part in every.difference(known) if len(part) <= SHORT]
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+                new = [part for part in every if len(part) <= SHORT]
+            # What is too much even for an empty memory is merged when its turn comes.
+            self._learn(new[:REMEMBERED])
+            yield from (self._finished(*found) for found in split)
+
+    def _split(self, text: str) -> tuple[str, list[str], np.ndarray, bool]:
+        """(normalised text, its parts, source position of each byte, whether marks are bytes)."""
         none = np.zeros(0, np.int64)
         if not text:
-            return [], none, none
+            return "", [], none, False
         normal, source = self.map.normalise(text)
         marked = self.trimmed or SPACE.encode() in normal
         if marked:
             normal, source = self._escaped(normal, source)
         if self.trimmed and not normal:
-            return [], none, none
+            return "", [], none, False
         line = (" " * self.prefixed + normal.decode()).replace(" ", SPACE)
+        return line, self.part.findall(line), source, marked
+
+    def _finished(
+        self, line: str, parts: list[str], source: np.ndarray, marked: bool
+    ) -> tuple[list[int], np.ndarray, np.ndarray]:
+        if not parts:
+            return [], source, source
         head = (len(SPACE.encode()) if marked else 1) if self.prefixed else 0
-        ids: list[int] = []
-        known, pieces = self._known, self._pieces
-        for part in self.part.findall(line):
-            ids += known.get(part) or pieces(part)
+        found = list(map(self._known.get, parts))
+        if None in found:
+            found = [ids or self._pieces(part) for part, ids in zip(parts, found, strict=True)]
+        ids = list(chain.from_iterable(found))
         sizes = self.lengths[0 if marked else 1][ids]
         if not self.bytes and self.unknown in ids:
             ids, sizes = self._joined(line, marked)
@@ -168,6 +229,57 @@ class Encoder:
     def decode(self, ids: list[int]) -> str:
         return self.processor.decode(ids) if ids else ""
 
+    def _costs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cost of merging two symbols, infinite if they make no piece; the symbol they make)."""
+        keys = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pairs, keys)
+        at[self.pairs[at] != keys] = -1
+        return self.costs[at], self.made[at]
+
+    def _learn(self, parts: list[str]) -> None:
+        """Remember the ids of short parts, those of about one length merged side by side."""
+        parts.sort(key=len)
+        for start in range(0, len(parts), ABREAST):
+            self._learn_abreast([p for p in parts[start : start + ABREAST] if p])
+
+    def _learn_abreast(self, parts: list[str]) -> None:
+        """In every round each part merges its best pair, of equal ones the leftmost, as in
+        ``_merged``. Parts with a symbol that is no piece are left to ``_pieces``."""
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        width = int(lengths.max(initial=0)) + 1
+        symbols = np.zeros((len(parts), width), np.int32)
+        filled = np.arange(width) < lengths[:, None]
+        symbols[filled] = self.symbol_of[np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")]
+        done, left = symbols.copy(), lengths.copy()
+        rows, columns = np.arange(len(parts)), np.arange(width)
+        # Every row ends with a zero, which makes no pair, so a merged pair has two neighbours.
+        costs = self._costs(symbols[:, :-1], symbols[:, 1:])[0]
+        while rows.size:
+            best = costs.argmin(axis=1)
+            going = costs[np.arange(rows.size), best] < np.inf
+            if not going.all():
+                done[rows[~going], :width] = symbols[~going]
+                rows, symbols, costs, best = rows[going], symbols[going], costs[going], best[going]
+                if not rows.size:
+                    break
+            every, place = np.arange(rows.size), best[:, None]
+            made = self._costs(symbols[every, best], symbols[every, best + 1])[1]
+            symbols[every, best] = made
+            symbols = symbols[columns[:width] != place + 1].reshape(rows.size, width - 1)
+            costs = costs[columns[: width - 1] != place].reshape(rows.size, width - 2)
+            width -= 1
+            costs[every, best] = self._costs(made, symbols[every, best + 1])[0]
+            inner = best > 0
+            at, before = every[inner], best[inner] - 1
+            costs[at, before] = self._costs(symbols[at, before], made[inner])[0]
+            left[rows] -= 1
+        ids = self.piece_of[done]
+        whole = ((ids >= 0) | (columns >= left[:, None])).all(axis=1)
+        shared = self.shared[ids].tolist()
+        for part, found, n, fits in zip(parts, shared, left.tolist(), whole.tolist()):
+            if fits:
+                self._known[part] = tuple(found[:n])
+
     def _joined(self, line: str, marked: bool) -> tuple[list[int], list[int]]:
         """(ids, bytes of each piece) where neighbouring unknown pieces are one, as in the
         library; their sizes are those of the symbols."""
@@ -277,6 +389,18 @@ class Encoder:
         return bytes(out), np.array([*positions, source[-1]])
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for cycles in the block: encoding makes none, but many small objects."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 @lru_cache(maxsize=1)
 def encoder_of(model: str) -> Encoder:
     """The encoder of a model file, kept with the parts it knows for the worker's next tasks."""
@@ -290,9 +414,10 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
         encoder = encoder_of(model)
         for part in text_slices(batches):
             rows = []
-            for text in part.column("text").to_pylist():
-                ids, starts, ends = encoder.encode(text or "")
-                rows.append((ids, starts, ends, encoder.decode(ids)))
+            texts = [text or "" for text in part.column("text").to_pylist()]
+            with uncollected():
+                for ids, starts, ends in encoder.encode_all(texts):
+                    rows.append((ids, starts, ends, encoder.decode(ids)))
             ints = pa.list_(pa.int32())
             yield pa.record_batch(
                 [
@@ -316,19 +441,19 @@ def encoding_digests(docs: DataFrame, model: str) -> DataFrame:
         encoder = encoder_of(model)
         for part in text_slices(batches):
             rows = []
-            for text in part.column("text").to_pylist():
-                text = text or ""
-                ids, starts, ends = encoder.encode(text)
-                digits = ",".join(map(encoder.digits.__getitem__, ids))
-                rows.append(
-                    (
-                        len(ids),
-                        hashlib.sha256(digits.encode()).hexdigest(),
-                        hashlib.sha256(encoder.decode(ids).encode()).hexdigest(),
-                        len(text.encode()),
-                        int((ends - starts).sum()),
+            texts = [text or "" for text in part.column("text").to_pylist()]
+            with uncollected():
+                for text, (ids, starts, ends) in zip(texts, encoder.encode_all(texts), strict=True):
+                    digits = ",".join(map(encoder.digits.__getitem__, ids))
+                    rows.append(
+                        (
+                            len(ids),
+                            hashlib.sha256(digits.encode()).hexdigest(),
+                            hashlib.sha256(encoder.decode(ids).encode()).hexdigest(),
+                            len(text.encode()),
+                            int((ends - starts).sum()),
+                        )
                     )
-                )
             kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
             yield pa.record_batch(
                 [

@@ -94,3 +94,14 @@ def test_documents_with_spans(spark, odd_dir):
         assert row.ids == (library.encode(data.decode()) if data else [])
         assert b"".join(data[a:b] for a, b in zip(row.starts, row.ends, strict=True)) == data
         assert row.decoded == data.decode()
+
+
+def test_new_parts_of_many_texts_are_merged_together(monkeypatch):
+    own = Encoder(MODEL)
+    many = [*texts(), *[f"of\nUnseen{n} wordings.\nEnding{n}x" for n in range(300)], "", " ", "\n"]
+    alone, plain = [], Encoder._pieces
+    monkeypatch.setattr(Encoder, "_pieces", lambda self, p: alone.append(p) or plain(self, p))
+    got = [list(ids) for ids, _, _ in own.encode_all(many)]
+    assert got == [list(own.processor.encode(text)) for text in many]
+    # What is made of pieces only is never merged by itself, whatever line it ends.
+    assert not any("Unseen" in part or "Ending" in part for part in alone)
